@@ -26,17 +26,10 @@ _CARRY, _ARRIVE, _LEAVE = -1, 0, 1
 def trailing_counts(rows: DataFrame, keys: list[str], at: str, seconds: int, name: str) -> DataFrame:
     """One row per (keys, instant): rows of those keys in ``[instant - seconds, instant]``.
 
-    Rows without an instant are peers of each other only.  NULL keys form a group.
+    NULL keys form a group.  Rows without an instant are peers of each other only:
+    their slice is NULL, which sorts first, starts from nothing and adds up to nothing.
     """
     arrivals = rows.groupBy(*keys, at).agg(F.count(F.lit(1)).alias("arrivals"))
-    return (
-        _sweep(arrivals.where(F.col(at).isNotNull()), keys, at, seconds)
-        .select(*keys, F.col("moment").alias(at), F.col("open").alias(name))
-        .unionByName(arrivals.where(F.col(at).isNull()).select(*keys, at, F.col("arrivals").alias(name)))
-    )
-
-
-def _sweep(arrivals: DataFrame, keys: list[str], at: str, seconds: int) -> DataFrame:
     span = F.expr(f"interval {int(seconds)} seconds")
     moves = arrivals.select(
         *keys,
@@ -48,23 +41,34 @@ def _sweep(arrivals: DataFrame, keys: list[str], at: str, seconds: int) -> DataF
         ),
     ).withColumn("slice", F.date_trunc("minute", "moment"))
 
-    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        Window.partitionBy(*keys)
+        .orderBy(F.col("slice").asc_nulls_first())
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     carries = (
         moves.groupBy(*keys, "slice")
-        .agg(F.sum("change").alias("change"), F.min("moment").alias("moment"))
-        .withColumn("change", F.coalesce(F.sum("change").over(earlier), F.lit(0)))
-        .withColumn("kind", F.lit(_CARRY))
+        .agg(F.sum("change").alias("change"))
+        .withColumns(
+            {
+                "change": F.coalesce(F.sum("change").over(earlier), F.lit(0)),
+                "moment": F.lit(None).cast(moves.schema["moment"].dataType),
+                "kind": F.lit(_CARRY),
+            }
+        )
     )
-    # Departures sort after arrivals of the same moment: the far edge is inclusive.
+    # The carry comes first.  Departures follow arrivals of the same moment, which
+    # makes the far edge inclusive.
     running = (
         Window.partitionBy(*keys, "slice")
-        .orderBy((F.col("kind") != _CARRY), "moment", "kind")
+        .orderBy(F.col("moment").asc_nulls_first(), "kind")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         moves.unionByName(carries)
         .withColumn("open", F.sum("change").over(running))
         .where(F.col("kind") == _ARRIVE)
+        .select(*keys, F.col("moment").alias(at), F.col("open").alias(name))
     )
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ringlake.functions.clock import Clock
 from ringlake.schemas import BRONZE_COLUMNS
 
+ISO = "yyyy-MM-dd'T'HH:mm:ss"
 AS_OF = Clock(date(2024, 1, 31), datetime(2024, 1, 31, 12))
 
 # The ten packages as (name, type, price in VND, limit in GB; 0 is unlimited).
@@ -40,8 +41,8 @@ def _pick(values: list, position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
 
 
-def _tens(key: Column) -> Column:
-    return F.floor(key / 10)
+def _text(day: Column) -> Column:
+    return F.date_format(day.cast("timestamp"), ISO)
 
 
 def _packages(spark: SparkSession) -> DataFrame:
@@ -60,55 +61,58 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.sum("l_quantity").alias("quantity"))
     )
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
-    odd_one = k % 1000 == 13
+    tens = F.floor(k / 10)
     limit = F.col("data_limit_gb")
-    start = F.lit(AS_OF.today)
     age = F.when(ck % 8 == 0, (k * 31) % 25).otherwise((ck % 8) * 60 + (k * 31) % 60).cast("int")
-    active = F.when(k % 499 != 3, F.date_sub(start, age))
-    iso = "yyyy-MM-dd'T'HH:mm:ss"
-    landed = F.date_format(
-        F.lit("2024-01-12 00:00:00").cast("timestamp") + F.make_dt_interval(secs=((k * 7919) % 1728000).cast("decimal(18,6)")),
-        iso,
-    )
-    quantity_gb = F.round(F.col("quantity") * F.when(limit > 0, limit).otherwise(500.0) / 150.0, 2)
-
-    def text(day: Column) -> Column:
-        return F.date_format(day.cast("timestamp"), iso)
-
-    return (
+    midnight = F.lit("2024-01-12 00:00:00").cast("timestamp")
+    seconds = ((k * 7919) % 1728000).cast("decimal(18,6)")
+    # Values that several columns share are columns of their own: each is computed
+    # once, and the generated code stays small enough to be compiled.
+    parts = (
         orders.join(customers, ck == F.col("c_custkey"))
         .join(used, k == F.col("l_orderkey"), "left")
         .join(_packages(spark), k % 10 == F.col("i"))
         .withColumns(
             {
-                "subscription_id": F.concat(
-                    F.lit("VT"), (100000 + k - F.when(k % 97 == 1, 1).otherwise(0)).cast("string")
-                ),
-                "customer_id": F.when(k % 211 != 5, F.concat(F.lit("KH"), (10000 + ck).cast("string"))),
-                "package_name": F.when(
-                    k % 307 != 7,
-                    F.when(odd_one & (ck % 2 == 0), "Mimax").when(odd_one, "Data Tốc Cao").otherwise(F.col("p_name")),
-                ),
-                "daily_limit_mb": F.when(limit != 0, 512 * (1 + k % 6)),
-                "speed_mbps": _pick(SPEEDS, _tens(k) % 7).cast("long"),
-                "activation_date": text(active),
-                "expiry_date": text(F.date_add(active, _pick(DURATIONS, _tens(k) % 5))),
-                "auto_renewal": ck % 2 == 0,
-                "status": F.when(odd_one, "active")
-                .when(_tens(k) % 20 == 0, "cancelled")
-                .when(F.col("o_orderstatus") == "O", "active")
-                .when(F.col("o_orderstatus") == "F", "expired")
-                .when(F.col("o_orderstatus") == "P", "suspended"),
-                "device_type": _pick(DEVICES, ck % 4),
-                "payment_method": _pick(PAYMENTS, F.left("o_orderpriority", F.lit(1)).cast("int") - 1),
-                "created_at": landed,
-                "last_updated": landed,
-                "zone": F.when(odd_one, "north").otherwise(_pick(ZONE_CYCLE, F.col("c_nationkey") % 3)),
-                "is_anomaly": odd_one,
-                "anomaly_reason": F.when(odd_one, _pick(REASONS, k % 3)),
-                "total_used_gb": quantity_gb,
-                "remaining_gb": F.when(limit != 0, F.greatest(limit - quantity_gb, F.lit(0.0))),
+                "odd_one": k % 1000 == 13,
+                "even_customer": ck % 2 == 0,
+                "tens": tens,
+                "duration": _pick(DURATIONS, tens % 5),
+                "active": F.when(k % 499 != 3, F.date_sub(F.lit(AS_OF.today), age)),
+                "landed": F.date_format(midnight + F.make_dt_interval(secs=seconds), ISO),
+                "used_gb": F.round(F.col("quantity") * F.when(limit > 0, limit).otherwise(500.0) / 150.0, 2),
             }
         )
-        .select(*BRONZE_COLUMNS)
     )
+    odd_one, even, tens = F.col("odd_one"), F.col("even_customer"), F.col("tens")
+    return parts.withColumns(
+        {
+            "subscription_id": F.concat(
+                F.lit("VT"), (100000 + k - F.when(k % 97 == 1, 1).otherwise(0)).cast("string")
+            ),
+            "customer_id": F.when(k % 211 != 5, F.concat(F.lit("KH"), (10000 + ck).cast("string"))),
+            "package_name": F.when(
+                k % 307 != 7,
+                F.when(odd_one & even, "Mimax").when(odd_one, "Data Tốc Cao").otherwise(F.col("p_name")),
+            ),
+            "daily_limit_mb": F.when(limit != 0, 512 * (1 + k % 6)),
+            "speed_mbps": _pick(SPEEDS, tens % 7).cast("long"),
+            "activation_date": _text(F.col("active")),
+            "expiry_date": _text(F.date_add("active", F.col("duration"))),
+            "auto_renewal": even,
+            "status": F.when(odd_one, "active")
+            .when(tens % 20 == 0, "cancelled")
+            .when(F.col("o_orderstatus") == "O", "active")
+            .when(F.col("o_orderstatus") == "F", "expired")
+            .when(F.col("o_orderstatus") == "P", "suspended"),
+            "device_type": _pick(DEVICES, ck % 4),
+            "payment_method": _pick(PAYMENTS, F.left("o_orderpriority", F.lit(1)).cast("int") - 1),
+            "created_at": F.col("landed"),
+            "last_updated": F.col("landed"),
+            "zone": F.when(odd_one, "north").otherwise(_pick(ZONE_CYCLE, F.col("c_nationkey") % 3)),
+            "is_anomaly": odd_one,
+            "anomaly_reason": F.when(odd_one, _pick(REASONS, k % 3)),
+            "total_used_gb": F.col("used_gb"),
+            "remaining_gb": F.when(limit != 0, F.greatest(limit - F.col("used_gb"), F.lit(0.0))),
+        }
+    ).select(*BRONZE_COLUMNS)
