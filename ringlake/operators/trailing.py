@@ -79,9 +79,9 @@ def _move(moment: Column, kind: int, change: Column) -> Column:
 def attach_counts(rows: DataFrame, counts: DataFrame, keys: list[str], at: str, name: str) -> DataFrame:
     """Bring the counts back to the rows.
 
-    ``counts`` has one row per (keys, instant).  A small written table is broadcast
-    by its file size; otherwise this is a sort-merge join whose hot partitions
-    adaptive execution splits on the row side.
+    ``counts`` has one row per (keys, instant), or fewer: rows without one get NULL.
+    A small written table is broadcast by its file size; otherwise this is a
+    sort-merge join whose hot partitions adaptive execution splits on the row side.
     """
     on = [*keys, at]
     right = counts.select(*[F.col(c).alias(f"__{c}") for c in on], name)

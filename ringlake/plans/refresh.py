@@ -10,7 +10,7 @@ from ringlake.functions.clock import Clock
 from ringlake.operators.quality import quality_report
 from ringlake.plans.customers import customer_behavior
 from ringlake.plans.daily import daily_summary
-from ringlake.plans.silver import BurstRule, burst_counts, to_silver, typed_subscriptions
+from ringlake.plans.silver import BurstRule, burst_instants, to_silver
 from ringlake.plans.subscriptions import dim_subscriptions, fact_daily
 from ringlake.sources import jdbc, tables
 from ringlake.sources.scratch import written
@@ -38,7 +38,8 @@ def refresh(
     """Rebuild every table below ``warehouse``; nothing is written when bronze is empty.
 
     Each table is computed once, from the written table before it.  Stage row
-    counts are observed while silver is written and cost no pass of their own.
+    counts are observed while silver is written and cost no pass of their own; rows
+    of a task that is repeated after an executor loss may be counted twice there.
     """
     done = Refreshed()
     if bronze.isEmpty():
@@ -51,10 +52,10 @@ def refresh(
         done.tables[name] = tables.save(df, name, f"{warehouse}/{name.replace('.', '/')}")
         return done.tables[name]
 
-    counts = None if burst is None else written(burst_counts(typed_subscriptions(bronze, clock), burst), "burst")
+    bursts = None if burst is None else written(burst_instants(bronze, burst), "bursts")
     read, kept = Observation("bronze"), Observation("silver")
     total = F.count(F.lit(1)).alias("rows")
-    silver = to_silver(bronze.observe(read, total), clock, burst, counts).observe(kept, total)
+    silver = to_silver(bronze.observe(read, total), clock, burst, bursts).observe(kept, total)
     path = None if tables.has_v2_catalog(spark, silver_table) else f"{warehouse}/{silver_table.replace('.', '/')}"
     tables.replace_silver(silver, silver_table, path)
     done.rows = {"bronze": read.get["rows"], "silver": kept.get["rows"]}

@@ -41,33 +41,39 @@ def burst_counts(typed: DataFrame, rule: BurstRule) -> DataFrame:
     return trailing_counts(typed, BURST_KEYS, "created_at", rule.seconds, BURST_COLUMN)
 
 
-def with_burst_count(typed: DataFrame, rule: BurstRule, counts: DataFrame | None = None) -> DataFrame:
-    counts = burst_counts(typed, rule) if counts is None else counts
-    return attach_counts(typed, counts, BURST_KEYS, "created_at", BURST_COLUMN)
+def with_burst_count(typed: DataFrame, rule: BurstRule) -> DataFrame:
+    return attach_counts(typed, burst_counts(typed, rule), BURST_KEYS, "created_at", BURST_COLUMN)
+
+
+def burst_instants(bronze: DataFrame, rule: BurstRule) -> DataFrame:
+    """The packages, zones and instants whose trailing count exceeds the threshold."""
+    return burst_counts(typed_subscriptions(bronze), rule).where(F.col(BURST_COLUMN) > rule.threshold)
 
 
 def to_silver(
     bronze: DataFrame,
     clock: Clock = Clock(),
     burst: BurstRule | None = None,
-    counts: DataFrame | None = None,
+    bursts: DataFrame | None = None,
 ) -> DataFrame:
     """The 25 silver columns.  Without ``burst`` every step is row-wise, hence streamable.
 
-    ``counts`` takes burst counts that were written earlier: a small table is then
-    broadcast by its file size and the rows are not shuffled at all.
+    Only instants above the threshold are joined to the rows.  ``bursts`` takes them
+    from a table written earlier: when its files are small they are broadcast, and
+    the wide rows are not shuffled at all.
     """
     rows = typed_subscriptions(bronze, clock)
     suspicious = rules.is_true(F.col("is_anomaly"))
     if burst is not None:
-        rows = with_burst_count(rows, burst, counts)
-        suspicious = (F.col(BURST_COLUMN) > burst.threshold) | suspicious
+        bursts = burst_instants(bronze, burst) if bursts is None else bursts
+        rows = attach_counts(rows, bursts, BURST_KEYS, "created_at", BURST_COLUMN)
+        suspicious = F.col(BURST_COLUMN).isNotNull() | suspicious
     return rows.withColumns(
         {
             "subscription_duration_days": F.datediff("expiry_date", "activation_date"),
             "days_until_expiry": F.datediff(F.col("expiry_date"), clock.date()),
             "usage_percentage": rules.usage_percentage(F.col("total_used_gb"), F.col("data_limit_gb")),
             "customer_segment": rules.price_segment(F.col("price_monthly_vnd")),
-            "is_suspicious": rules.is_true(suspicious),
+            "is_suspicious": suspicious,
         }
     ).select(*SILVER_COLUMNS)

@@ -160,10 +160,9 @@ def silver_subscriptions(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _silver_burst(spark: SparkSession, folder: str) -> DataFrame:
-    """With written counts: their file size decides whether the wide rows are shuffled."""
+    """With written bursts: their file size decides whether the wide rows are shuffled."""
     rows = _bronze(spark, folder)
-    counts = written(silver.burst_counts(silver.typed_subscriptions(rows, CLOCK), BURST), "burst")
-    return silver.to_silver(rows, CLOCK, BURST, counts)
+    return silver.to_silver(rows, CLOCK, BURST, written(silver.burst_instants(rows, BURST), "bursts"))
 
 
 def silver_subscriptions_burst(spark: SparkSession, folder: str) -> DataFrame:

@@ -32,6 +32,10 @@ def scan(spark: SparkSession, base: str, date_filter: str | None = None, merge_s
     The filter is a predicate on partition columns, so unneeded directories are
     pruned from the listing and the partition columns stay in the result.  With
     ``merge_schema`` the schema is the union of the files' own schemas.
+
+    Some writers store a column without any value as a null-typed integer.  The
+    vectorized reader refuses such a file; with ``spark.sql.parquet.enableVectorizedReader``
+    off it is read as NULLs.
     """
     reader = spark.read.option("basePath", base)
     if merge_schema:

@@ -1,10 +1,12 @@
 import glob
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import CLOCK, bronze_rows, plan, same_rows, silver_rows
+from helpers import CLOCK, DEFAULTS, bronze_rows, plan, same_rows, silver_rows
 from ringlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
 from ringlake.sources import bronze, jdbc, scratch, tables
 
@@ -70,6 +72,23 @@ def test_merge_schema(spark, tmp_path):
     assert {(r.subscription_id, r.anomaly_reason, r.note) for r in merged.collect()} == {("VT1", None, None), ("VT2", "x", "new")}
 
 
+def test_files_of_other_writers(spark, tmp_path):
+    """Partition fields inside the file as well, and a null-typed column in one batch."""
+    base = str(tmp_path / "raw")
+    for month, reason in ((1, None), (2, "x")):
+        folder = f"{base}/year=2024/month={month:02d}/day=03/hour=04"
+        os.makedirs(folder)
+        row = {**DEFAULTS, "anomaly_reason": reason, "year": 2024, "month": month, "day": 3, "hour": 4, "minute": 5}
+        pq.write_table(pa.Table.from_pylist([row]), f"{folder}/batch.parquet")
+    typed = bronze.scan(spark, base, "year=2024/month=02")
+    assert typed.select("anomaly_reason", "month", "minute").collect() == [("x", 2, 5)]
+    spark.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
+    try:
+        assert {(r.month, r.anomaly_reason) for r in bronze.scan(spark, base).collect()} == {(1, None), (2, "x")}
+    finally:
+        spark.conf.unset("spark.sql.parquet.enableVectorizedReader")
+
+
 def test_replace_then_append(spark, tmp_path):
     silver = silver_rows(spark, {}, {"zone": None, "package_type": "daily"}, {"activation_date": None})
     path = str(tmp_path / "silver")
