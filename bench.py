@@ -22,9 +22,8 @@ from ringlake.session import build_session  # noqa: E402
 
 HEADLINE = [
     "silver_subscriptions", "silver_subscriptions_burst", "registration_burst", "event_burst",
-    "dim_subscriptions", "customer_subscription_rank", "fact_daily", "customer_lifetime", "customer_behavior",
-    "daily_kpis", "rolling_anomaly", "rolling_anomaly_daily", "daily_summary",
-    "package_top5", "batch_profile", "dq_report", "contract_unique", "contract_accepted_values",
+    "dim_subscriptions", "fact_daily", "customer_behavior", "customer_latest_package",
+    "daily_kpis", "rolling_anomaly", "daily_summary", "package_top5", "dq_report", "contract_unique",
     "bronze_land_roundtrip", "silver_table_roundtrip", "silver_stream_ingest", "refreshed_tables",
 ]
 

@@ -7,12 +7,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ringlake.functions.clock import Clock
 from ringlake.schemas import BRONZE_COLUMNS
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss"
 AS_OF = Clock(date(2024, 1, 31), datetime(2024, 1, 31, 12))
 
 # The ten packages as (name, type, price in VND, limit in GB; 0 is unlimited).
@@ -37,82 +36,88 @@ ZONE_CYCLE = ["north", "central", "south"]
 REASONS = ["high_frequency", "unusual_package", "suspicious_device"]
 
 
-def _pick(values: list, position: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (position + 1).cast("int"))
+# Declared, so that no job has to read file footers before a query is planned.
+SCHEMAS = {
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string",
+    "customer": "c_custkey long, c_nationkey int",
+    "lineitem": "l_orderkey long, l_quantity double",
+}
 
 
-def _text(day: Column) -> Column:
-    return F.date_format(day.cast("timestamp"), ISO)
+def _literal(value: object) -> str:
+    return f"'{value}'" if isinstance(value, str) else str(value)
+
+
+def _pick(values: list, position: str) -> str:
+    """A choice by zero-based position."""
+    return f"element_at(array({', '.join(_literal(v) for v in values)}), cast({position} as int) + 1)"
+
+
+def _iso(moment: str) -> str:
+    return f"date_format({moment}, \"yyyy-MM-dd'T'HH:mm:ss\")"
+
+
+# Values that several columns share are columns of their own: each is computed once,
+# and the generated code stays small enough for the JVM to compile it.
+SHARED = {
+    "k": "o_orderkey",
+    "ck": "o_custkey",
+    "odd_one": "o_orderkey % 1000 = 13",
+    "even_customer": "o_custkey % 2 = 0",
+    "tens": "o_orderkey div 10",
+    "active": f"""
+        CASE WHEN o_orderkey % 499 = 3 THEN NULL
+             ELSE date_sub(DATE '{AS_OF.today}', cast(
+                 CASE WHEN o_custkey % 8 = 0 THEN (o_orderkey * 31) % 25
+                      ELSE (o_custkey % 8) * 60 + (o_orderkey * 31) % 60 END AS int)) END""",
+    "landed": _iso("TIMESTAMP '2024-01-12 00:00:00' + make_dt_interval(0, 0, 0, (o_orderkey * 7919) % 1728000)"),
+    "used_gb": "round(quantity * CASE WHEN data_limit_gb > 0 THEN data_limit_gb ELSE 500D END / 150D, 2)",
+}
+
+COLUMNS = {
+    "subscription_id": "'VT' || (100000 + k - CASE WHEN k % 97 = 1 THEN 1 ELSE 0 END)",
+    "customer_id": "CASE WHEN k % 211 <> 5 THEN 'KH' || (10000 + ck) END",
+    "package_name": """
+        CASE WHEN k % 307 = 7 THEN NULL WHEN odd_one AND even_customer THEN 'Mimax'
+             WHEN odd_one THEN 'Data Tốc Cao' ELSE p_name END""",
+    "daily_limit_mb": "CASE WHEN data_limit_gb <> 0 THEN 512 * (1 + k % 6) END",
+    "speed_mbps": f"cast({_pick(SPEEDS, 'tens % 7')} as long)",
+    "activation_date": _iso("active"),
+    "expiry_date": _iso(f"date_add(active, {_pick(DURATIONS, 'tens % 5')})"),
+    "auto_renewal": "even_customer",
+    "status": """
+        CASE WHEN odd_one THEN 'active' WHEN tens % 20 = 0 THEN 'cancelled' WHEN o_orderstatus = 'O' THEN 'active'
+             WHEN o_orderstatus = 'F' THEN 'expired' WHEN o_orderstatus = 'P' THEN 'suspended' END""",
+    "device_type": _pick(DEVICES, "ck % 4"),
+    "payment_method": _pick(PAYMENTS, "cast(left(o_orderpriority, 1) as int) - 1"),
+    "created_at": "landed",
+    "last_updated": "landed",
+    "zone": f"CASE WHEN odd_one THEN 'north' ELSE {_pick(ZONE_CYCLE, 'c_nationkey % 3')} END",
+    "is_anomaly": "odd_one",
+    "anomaly_reason": f"CASE WHEN odd_one THEN {_pick(REASONS, 'k % 3')} END",
+    "total_used_gb": "used_gb",
+    "remaining_gb": "CASE WHEN data_limit_gb <> 0 THEN greatest(data_limit_gb - used_gb, 0D) END",
+}
 
 
 def _packages(spark: SparkSession) -> DataFrame:
     """Ten literal rows, so the broadcast below has a fixed size."""
-    rows = [(i, *package) for i, package in enumerate(PACKAGES)]
-    schema = "i long, p_name string, package_type string, price_monthly_vnd long, data_limit_gb double"
-    return F.broadcast(spark.createDataFrame([(i, n, t, p, float(g)) for i, n, t, p, g in rows], schema))
+    rows = ", ".join(f"({i}L, '{n}', '{t}', {price}L, {gb}D)" for i, (n, t, price, gb) in enumerate(PACKAGES))
+    columns = "i, p_name, package_type, price_monthly_vnd, data_limit_gb"
+    return F.broadcast(spark.sql(f"SELECT * FROM VALUES {rows} AS packages({columns})"))
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    used = (
-        spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-        .groupBy("l_orderkey")
-        .agg(F.sum("l_quantity").alias("quantity"))
-    )
-    k, ck = F.col("o_orderkey"), F.col("o_custkey")
-    tens = F.floor(k / 10)
-    limit = F.col("data_limit_gb")
-    age = F.when(ck % 8 == 0, (k * 31) % 25).otherwise((ck % 8) * 60 + (k * 31) % 60).cast("int")
-    midnight = F.lit("2024-01-12 00:00:00").cast("timestamp")
-    seconds = ((k * 7919) % 1728000).cast("decimal(18,6)")
-    # Values that several columns share are columns of their own: each is computed
-    # once, and the generated code stays small enough to be compiled.
-    parts = (
-        orders.join(customers, ck == F.col("c_custkey"))
-        .join(used, k == F.col("l_orderkey"), "left")
-        .join(_packages(spark), k % 10 == F.col("i"))
-        .withColumns(
-            {
-                "odd_one": k % 1000 == 13,
-                "even_customer": ck % 2 == 0,
-                "tens": tens,
-                "duration": _pick(DURATIONS, tens % 5),
-                "active": F.when(k % 499 != 3, F.date_sub(F.lit(AS_OF.today), age)),
-                "landed": F.date_format(midnight + F.make_dt_interval(secs=seconds), ISO),
-                "used_gb": F.round(F.col("quantity") * F.when(limit > 0, limit).otherwise(500.0) / 150.0, 2),
-            }
-        )
+    used = _table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").alias("quantity"))
+    return (
+        _table(spark, sf_dir, "orders")
+        .join(_table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
+        .join(used, F.expr("o_orderkey = l_orderkey"), "left")
+        .join(_packages(spark), F.expr("o_orderkey % 10 = i"))
+        .selectExpr("*", *[f"{rule} AS {name}" for name, rule in SHARED.items()])
+        .selectExpr(*[f"{COLUMNS.get(name, name)} AS {name}" for name in BRONZE_COLUMNS])
     )
-    odd_one, even, tens = F.col("odd_one"), F.col("even_customer"), F.col("tens")
-    return parts.withColumns(
-        {
-            "subscription_id": F.concat(
-                F.lit("VT"), (100000 + k - F.when(k % 97 == 1, 1).otherwise(0)).cast("string")
-            ),
-            "customer_id": F.when(k % 211 != 5, F.concat(F.lit("KH"), (10000 + ck).cast("string"))),
-            "package_name": F.when(
-                k % 307 != 7,
-                F.when(odd_one & even, "Mimax").when(odd_one, "Data Tốc Cao").otherwise(F.col("p_name")),
-            ),
-            "daily_limit_mb": F.when(limit != 0, 512 * (1 + k % 6)),
-            "speed_mbps": _pick(SPEEDS, tens % 7).cast("long"),
-            "activation_date": _text(F.col("active")),
-            "expiry_date": _text(F.date_add("active", F.col("duration"))),
-            "auto_renewal": even,
-            "status": F.when(odd_one, "active")
-            .when(tens % 20 == 0, "cancelled")
-            .when(F.col("o_orderstatus") == "O", "active")
-            .when(F.col("o_orderstatus") == "F", "expired")
-            .when(F.col("o_orderstatus") == "P", "suspended"),
-            "device_type": _pick(DEVICES, ck % 4),
-            "payment_method": _pick(PAYMENTS, F.left("o_orderpriority", F.lit(1)).cast("int") - 1),
-            "created_at": F.col("landed"),
-            "last_updated": F.col("landed"),
-            "zone": F.when(odd_one, "north").otherwise(_pick(ZONE_CYCLE, F.col("c_nationkey") % 3)),
-            "is_anomaly": odd_one,
-            "anomaly_reason": F.when(odd_one, _pick(REASONS, k % 3)),
-            "total_used_gb": F.col("used_gb"),
-            "remaining_gb": F.when(limit != 0, F.greatest(limit - F.col("used_gb"), F.lit(0.0))),
-        }
-    ).select(*BRONZE_COLUMNS)
