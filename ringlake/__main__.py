@@ -1,4 +1,4 @@
-"""Batch job: ``spark-submit -m ringlake`` or ``python -m ringlake --bronze ... --warehouse ...``."""
+"""Batch job: rebuild silver and gold from the landed bronze tree and print the quality report."""
 
 from __future__ import annotations
 
@@ -12,7 +12,7 @@ from ringlake.sources import bronze
 from ringlake.sources.jdbc import JdbcTarget
 
 
-def arguments() -> argparse.Namespace:
+def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ringlake", description=__doc__)
     parser.add_argument("--bronze", required=True, help="root of the landed Parquet tree")
     parser.add_argument("--warehouse", required=True, help="folder for silver and gold tables")
@@ -27,11 +27,11 @@ def arguments() -> argparse.Namespace:
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-table", default="public.subscriptions")
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
-    return parser.parse_args()
+    return parser.parse_args(words)
 
 
-def main() -> None:
-    args = arguments()
+def main(words: list[str] | None = None) -> None:
+    args = arguments(words)
     spark = build_session()
     mirror = None
     if args.jdbc_url:

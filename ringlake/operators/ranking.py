@@ -33,7 +33,8 @@ def row_numbers(
     if (measured["largest"] or 0) <= limit:
         return _numbered(rows, by, order, name)
 
-    hot = F.broadcast(sizes.where(F.col("n") > limit).select(F.col(by).alias("__hot")))
+    # Written, so that both sides below agree on which groups are hot.
+    hot = F.broadcast(written(sizes.where(F.col("n") > limit).select(F.col(by).alias("__hot")), "hot-groups"))
     is_hot = F.col(by).eqNullSafe(F.col("__hot"))
     usual = _numbered(rows.join(hot, is_hot, "left_anti"), by, order, name)
     runs = max(2, -(-measured["total"] // limit))

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 import pytest
 
+from ringlake.__main__ import main as job
 from helpers import CLOCK, bronze_rows, same_rows
 from ringlake.plans.customers import customer_behavior
 from ringlake.plans.daily import daily_summary
@@ -71,6 +72,18 @@ def test_refresh_can_be_repeated_and_uses_burst(spark, feed, tmp_path):
     assert same_rows(done.tables["silver.subscriptions"], to_silver(feed, CLOCK, BurstRule(1)))
 
 
+def test_job_over_a_landed_tree(spark, feed, tmp_path, capsys):
+    base, lake = str(tmp_path / "raw"), str(tmp_path / "lake")
+    bronze.land(feed, base)
+    job(["--bronze", base, "--warehouse", lake, "--merge-schema", "--burst", "--burst-threshold", "1", "--per-day"])
+    shown = capsys.readouterr().out
+    assert f"'bronze': {feed.count()}" in shown and "duplicates" in shown
+    segments = spark.sql("SELECT customer_segment, count(*) AS n FROM gold.customer_behavior GROUP BY 1")
+    assert segments.agg(F.sum("n")).first()[0] == spark.table("silver.dim_subscriptions").select("customer_id").distinct().count()
+    job(["--bronze", base, "--warehouse", lake, "--date-filter", "year=1999"])
+    assert "nothing written" in capsys.readouterr().out
+
+
 def test_refresh_stops_on_empty_input(spark, feed, tmp_path):
     done = refresh(feed.limit(0), str(tmp_path / "none"), CLOCK)
     assert done.tables == {} and done.report is None and not (tmp_path / "none").exists()
