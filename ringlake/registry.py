@@ -129,7 +129,7 @@ def silver_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 def refreshed_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of every table that a whole refresh wrote."""
-    done = refresh(_bronze(spark, folder), new_folder(spark, "warehouse"), CLOCK, BURST)
+    done = refresh(_bronze(spark, folder), new_folder(spark, "warehouse"), CLOCK)
     counted = [
         table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
         for name, table in done.tables.items()
