@@ -22,10 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder, removed by Spark's file system when the driver ends."""
+    """A fresh, empty folder below the shared one; Hadoop removes it when the driver's JVM ends."""
     path = f"{shared_folder(spark)}/ringlake/{label}-{uuid.uuid4().hex}"
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(hadoop_path)  # only an existing path can be marked for removal
+    files.deleteOnExit(hadoop_path)
     return path
 
 
@@ -36,5 +38,5 @@ def written(df: DataFrame, label: str) -> DataFrame:
     gives the planner real sizes for later join choices.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
