@@ -26,6 +26,7 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--per-day", action="store_true", help="rolling labels per package and day")
     parser.add_argument("--jdbc-url")
     parser.add_argument("--jdbc-table", default="public.subscriptions")
+    parser.add_argument("--jdbc-models", action="store_true", help="send the models to the database as well")
     parser.add_argument("--jdbc-property", action="append", default=[], metavar="KEY=VALUE")
     return parser.parse_args(words)
 
@@ -43,6 +44,7 @@ def main(words: list[str] | None = None) -> None:
         burst=BurstRule(args.burst_threshold, args.burst_seconds) if args.burst else None,
         silver_table=args.silver_table,
         mirror=mirror,
+        mirror_models=args.jdbc_models,
         latest_package=args.latest_package,
         per_day=args.per_day,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
@@ -32,6 +32,7 @@ def refresh(
     burst: BurstRule | None = None,
     silver_table: str = "silver.subscriptions",
     mirror: jdbc.JdbcTarget | None = None,
+    mirror_models: bool = False,
     latest_package: bool = False,
     per_day: bool = False,
 ) -> Refreshed:
@@ -40,6 +41,8 @@ def refresh(
     Each table is computed once, from the written table before it.  Stage row
     counts are observed while silver is written and cost no pass of their own; rows
     of a task that is repeated after an executor loss may be counted twice there.
+    ``mirror`` also sends silver to a database; with ``mirror_models`` the models
+    follow under their own names, for example ``gold.daily_summary``.
     """
     done = Refreshed()
     if bronze.isEmpty():
@@ -50,6 +53,8 @@ def refresh(
 
     def save(df: DataFrame, name: str) -> DataFrame:
         done.tables[name] = tables.save(df, name, f"{warehouse}/{name.replace('.', '/')}")
+        if mirror is not None and mirror_models:
+            jdbc.overwrite(done.tables[name], replace(mirror, table=name))
         return done.tables[name]
 
     bursts = None if burst is None else written(burst_instants(bronze, burst), "bursts")

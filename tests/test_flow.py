@@ -92,5 +92,10 @@ def test_refresh_stops_on_empty_input(spark, feed, tmp_path):
 def test_refresh_mirrors_silver(spark, feed, tmp_path, monkeypatch):
     sent = []
     monkeypatch.setattr(jdbc, "overwrite", lambda df, target: sent.append((df.count(), target.table)))
-    refresh(feed, str(tmp_path), CLOCK, mirror=jdbc.JdbcTarget("jdbc:x:", "public.t"))
+    target = jdbc.JdbcTarget("jdbc:x:", "public.t")
+    refresh(feed, str(tmp_path), CLOCK, mirror=target)
     assert sent == [(to_silver(feed, CLOCK).count(), "public.t")]
+    sent.clear()
+    done = refresh(feed, str(tmp_path), CLOCK, mirror=target, mirror_models=True)
+    models = [(table.count(), name) for name, table in done.tables.items()]
+    assert sent == [(models[0][0], "public.t"), *models[1:]]
