@@ -1,5 +1,7 @@
 """The same queries as SQL for another engine, where SQL expresses them."""
 
+from ringlake.llm.chat import CONTROL, END, MARK, SAYS, TURN
+
 OP8 = r"""
 WITH sized AS (
   SELECT doc_id, source,
@@ -39,4 +41,30 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_mix_budgets": OP8}
+
+
+def _escaped(text: str) -> str:
+    out = f"replace({text}, '{MARK}', '{MARK}0')"
+    for word in CONTROL:
+        out = f"replace({out}, '{word}', '{word[0]}{MARK}1{word[1:]}')"
+    return out
+
+
+# Formatted length: the markers of each turn, and its escaped role and text.
+OP3 = f"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), each AS (
+  SELECT *, {len(TURN) + len(SAYS) + len(END)} + length({_escaped("role")}) + length({_escaped("text")}) AS chars FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(chars) AS BIGINT) AS formatted_chars
+FROM each GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat_parts": OP3, "op8_mix_budgets": OP8}

@@ -6,8 +6,9 @@ document with those of all documents of its language, by Jensen-Shannon distance
 
 * classes of characters (lower case, capitals, digits, white space, punctuation,
   symbols, everything beyond ASCII);
-* the language's common words: short words with at least ``COMMON_SHARE`` of its
-  short words.  At most 1 / COMMON_SHARE words of a language can have that share.
+* the language's common words, and all other words as one more cell.  A common word is
+  short and makes up at least ``COMMON_SHARE`` of the language's words, so a language
+  has at most 1 / COMMON_SHARE of them.
 
 A histogram of few characters or words says little, so shorter texts than the guards
 are not judged by it.
@@ -37,10 +38,10 @@ MIN_WORDS = 10
 REPEAT_PERCENT = 20
 COMMON_SHARE = 0.005
 COMMON_LENGTH = 8
-CLASS_LIMIT = 0.35
-WORD_LIMIT = 0.90
+CLASS_LIMIT = 0.30
+WORD_LIMIT = 0.28
 CLASS_MIN_CHARS = 200
-WORD_MIN_COMMON = 40
+WORD_MIN_WORDS = 100
 
 
 def repeated_words(found: Column, window: int = WINDOW) -> Column:
@@ -124,11 +125,6 @@ def divergence_term(p: Column, q: Column) -> Column:
     return (part(p) + part(q)) / 2
 
 
-def _short_words(text: Column) -> Column:
-    letters = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}]+")
-    return F.filter(letters, lambda w: F.char_length(w).between(1, COMMON_LENGTH))
-
-
 def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """All rows of ``docs`` as struct ``row``, with ``base``, the two distances and ``kept``.
 
@@ -150,43 +146,38 @@ def judge(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return (
         base_counts(rows.withColumn("__text", body), "__text")
         .select("row", "base", "text_key")
-        .join(_class_distances(rows, body), "text_key")
-        .join(_word_distances(rows, body), "text_key", "left")
+        .join(_distances(rows, body), "text_key")
         .select("row", "base", "class_distance", "word_distance", (~F.col("base.base_failed") & ~far).alias("kept"))
     )
 
 
-def _class_distances(rows: DataFrame, body: Column) -> DataFrame:
-    """(text_key, class_distance), one row per key."""
+def _distances(rows: DataFrame, body: Column) -> DataFrame:
+    """(text_key, class_distance, word_distance), one row per key; no text is shuffled here."""
+    letters = F.split(F.lower(body), r"[^\p{L}]+")
     counts = F.array(*[F.regexp_count(body, F.lit(pattern)).cast("long") for pattern in CLASSES.values()])
-    seen = rows.select("text_key", "lang_key", counts.alias("chars"))
-    # One row per language; both sides are narrow.
-    reference = seen.groupBy("lang_key").agg(
-        F.array(*[F.sum(F.get("chars", F.lit(i))) for i in range(len(CLASSES))]).alias("all_chars")
+    seen = rows.select(
+        "text_key",
+        "lang_key",
+        counts.alias("chars"),
+        F.regexp_count(body, F.lit(r"\p{L}+")).cast("long").alias("n_words"),
     )
     total = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda a, b: a + b)
-    cells = F.zip_with("chars", "all_chars", lambda a, b: divergence_term(a / F.col("n"), b / F.col("all_n")))
-    divergence = F.greatest(F.aggregate(cells, F.lit(0.0), lambda acc, x: acc + x), F.lit(0.0))
-    return (
-        seen.dropDuplicates(["text_key"])
-        .join(reference, "lang_key")
-        .withColumns({"n": total("chars"), "all_n": total("all_chars")})
-        .select("text_key", F.when(F.col("n") >= CLASS_MIN_CHARS, F.sqrt(divergence)).alias("class_distance"))
+    # One row per language.
+    reference = seen.groupBy("lang_key").agg(
+        F.array(*[F.sum(F.get("chars", F.lit(i))) for i in range(len(CLASSES))]).alias("all_chars"),
+        F.sum("n_words").alias("all_words"),
     )
 
-
-def _word_distances(rows: DataFrame, body: Column) -> DataFrame:
-    """(text_key, word_distance) of texts with enough common words, one row per key."""
-    spread = rows.select("lang_key", "text_key", F.explode(_short_words(body)).alias("word"))
+    short = F.filter(letters, lambda w: F.char_length(w).between(1, COMMON_LENGTH))
+    spread = rows.select("lang_key", "text_key", F.explode(short).alias("word"))
     by_word = spread.groupBy("lang_key", "word").agg(F.count(F.lit(1)).alias("n"))
-    by_lang = by_word.groupBy("lang_key").agg(F.sum("n").alias("all_words"))
-    # At most 1 / COMMON_SHARE rows per language.
-    common = by_word.join(by_lang, "lang_key").where(F.col("n") >= COMMON_SHARE * F.col("all_words"))
-    common_total = common.groupBy("lang_key").agg(F.sum("n").alias("common_total"))
-    common = common.join(common_total, "lang_key").select(
-        "lang_key", "word", (F.col("n") / F.col("common_total")).alias("q")
+    share = F.col("n") / F.col("all_words")
+    # At most 1 / COMMON_SHARE rows per language; read once per word of the corpus.
+    common = written(
+        by_word.join(reference, "lang_key").where(share >= COMMON_SHARE).select("lang_key", "word", share.alias("q")),
+        "common-words",
     )
-    common = written(common, "common-words")  # small, used once per word of the corpus
+    common_share = common.groupBy("lang_key").agg(F.sum("q").alias("common_q"))
     own = (
         spread.join(common, ["lang_key", "word"])
         .groupBy("text_key", "word")
@@ -194,12 +185,33 @@ def _word_distances(rows: DataFrame, body: Column) -> DataFrame:
         .groupBy("text_key")
         .agg(F.sum("n").alias("n_common"), F.collect_list(F.struct("n", "q")).alias("cells"))
     )
-    # Words that the document lacks add half of their share.
-    divergence = F.aggregate(
-        "cells",
-        F.lit(0.5).cast("double"),
-        lambda acc, c: acc + divergence_term(c["n"] / F.col("n_common"), c["q"]) - c["q"] / 2,
+
+    # Rows that repeat an id and a text count as often in n_common; both go by the same key.
+    once = seen.groupBy("text_key").agg(
+        F.first("lang_key").alias("lang_key"), F.first("chars").alias("chars"),
+        F.first("n_words").alias("n_words"), F.count(F.lit(1)).alias("times"),
+    )
+    class_cells = F.zip_with(
+        "chars", "all_chars", lambda a, b: divergence_term(a / F.col("n_chars"), b / F.col("all_n_chars"))
     )
-    return own.where(F.col("n_common") >= WORD_MIN_COMMON).select(
-        "text_key", F.sqrt(F.greatest(divergence, F.lit(0.0))).alias("word_distance")
+    class_divergence = F.aggregate(class_cells, F.lit(0.0), lambda acc, x: acc + x)
+    n_words = F.col("n_words") * F.col("times")
+    all_q = F.coalesce("common_q", F.lit(0.0))
+    # Common words that the document lacks add half of their share; all other words are one cell.
+    word_divergence = F.aggregate(
+        F.coalesce("cells", F.array().cast("array<struct<n:bigint,q:double>>")),
+        all_q / 2,
+        lambda acc, c: acc + divergence_term(c["n"] / n_words, c["q"]) - c["q"] / 2,
+    ) + divergence_term(1 - F.coalesce("n_common", F.lit(0)) / n_words, 1 - all_q)
+    distance = lambda divergence: F.sqrt(F.greatest(divergence, F.lit(0.0)))
+    return (
+        once.join(reference, "lang_key")
+        .join(common_share, "lang_key", "left")
+        .join(own, "text_key", "left")
+        .withColumns({"n_chars": total("chars"), "all_n_chars": total("all_chars")})
+        .select(
+            "text_key",
+            F.when(F.col("n_chars") >= CLASS_MIN_CHARS, distance(class_divergence)).alias("class_distance"),
+            F.when(F.col("n_words") >= WORD_MIN_WORDS, distance(word_divergence)).alias("word_distance"),
+        )
     )

@@ -6,12 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ringlake.llm import mixing, quality
+from ringlake.llm import chat, mixing, quality, urls
 from ringlake.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# A conversation of two turns that say what other templates use as control strings.
+EXTRA_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op3_chat_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(EXTRA_CONVERSATION, "conv_id long, turn long, role string, text string")
+    turns = given.unionByName(extra.select(*[F.col(f.name).cast(f.dataType) for f in given.schema]))
+    out = chat.format_chats(turns, chat.text_part(F.col("text")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return (
+        out.withColumns(
+            {"turns": chat.read_back(F.col("formatted")), "loss": chat.under_loss(F.col("formatted"), F.col("loss_spans"))}
+        )
+        .select(
+            "conv_id",
+            F.size("turns").cast("long").alias("n_turns"),
+            F.sha2(said, 256).alias("turns_sha256"),
+            F.char_length("loss").cast("long").alias("loss_chars"),
+            F.sha2("loss", 256).alias("loss_sha256"),
+            F.char_length("formatted").cast("long").alias("formatted_chars"),
+        )
+    )
+
+
+def op4_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge_urls(table(spark, sf_dir, "pages")).withColumn("score", F.round("score", 6))
+
+
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     # The text is needed for the counts only, so it is left out before the joins.
@@ -28,5 +57,5 @@ def op8_mix_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op6_quality_divergence, op8_mix_budgets)
+    for query in (op3_chat_parts, op4_url_ratio, op6_quality_divergence, op8_mix_budgets)
 }
