@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ringlake.llm import chat, mixing, quality, urls
+from ringlake.llm import binary, chat, mixing, quality, token_counts, urls
 from ringlake.llm.text import table
+from ringlake.sources.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +43,11 @@ def op4_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(table(spark, sf_dir, "pages")).withColumn("score", F.round("score", 6))
 
 
+def op5_count_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     # The text is needed for the counts only, so it is left out before the joins.
@@ -50,6 +57,17 @@ def op6_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-ids")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    binary.write_ids(docs, public_tokenizers.path("byte_bpe_50k.json"), folder)
+    digests = {
+        "n_tokens": F.expr("octet_length(ids) div 4").cast("long"),
+        "ids_crc32": F.crc32("ids"),
+    }
+    return binary.read_ids(spark, folder, digests).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op8_mix_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mixing.mix(docs, keep=["doc_id"]).select("row.doc_id", "size", "source_size", "target", "taken")
@@ -57,5 +75,5 @@ def op8_mix_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_parts, op4_url_ratio, op6_quality_divergence, op8_mix_budgets)
+    for query in (op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets)
 }
