@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ringlake.llm import binary, chat, mixing, quality, token_counts, urls
+from ringlake.llm import binary, chat, mixing, packing, quality, token_counts, urls
 from ringlake.llm.text import table
 from ringlake.sources.scratch import new_folder
 
@@ -73,7 +73,12 @@ def op8_mix_budgets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, keep=["doc_id"]).select("row.doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_pack_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets)
+    for query in (op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns)
 }
