@@ -155,11 +155,15 @@ def _distances(rows: DataFrame, body: Column) -> DataFrame:
     """(text_key, class_distance, word_distance), one row per key; no text is shuffled here."""
     letters = F.split(F.lower(body), r"[^\p{L}]+")
     counts = F.array(*[F.regexp_count(body, F.lit(pattern)).cast("long") for pattern in CLASSES.values()])
-    seen = rows.select(
-        "text_key",
-        "lang_key",
-        counts.alias("chars"),
-        F.regexp_count(body, F.lit(r"\p{L}+")).cast("long").alias("n_words"),
+    # Counts of each text, written because the reference and the distances both read them.
+    seen = written(
+        rows.select(
+            "text_key",
+            "lang_key",
+            counts.alias("chars"),
+            F.regexp_count(body, F.lit(r"\p{L}+")).cast("long").alias("n_words"),
+        ),
+        "text-counts",
     )
     total = lambda name: F.aggregate(name, F.lit(0).cast("long"), lambda a, b: a + b)
     # One row per language.
