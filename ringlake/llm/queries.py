@@ -7,13 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ringlake.llm import binary, chat, mixing, packing, quality, token_counts, urls
+from ringlake.llm import binary, chat, mixing, packing, quality, repeats, token_counts, urls
 from ringlake.llm.text import table
 from ringlake.sources.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_repeat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    # A row for each of the given rows: alike ones get the same answer.
+    rows = repeats.remove_repeats(docs).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 # A conversation of two turns that say what other templates use as control strings.
 EXTRA_CONVERSATION = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
 
@@ -80,5 +87,5 @@ def op9_pack_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns)
+    for query in (op2_repeat_parse, op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns)
 }
