@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ringlake.llm import binary, chat, mixing, packing, quality, repeats, token_counts, urls
+from ringlake.llm import binary, chat, minhash, mixing, packing, quality, repeats, token_counts, urls
 from ringlake.llm.text import table
 from ringlake.sources.scratch import new_folder
 
@@ -85,7 +85,12 @@ def op9_pack_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op10_minhash_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, size=4, percent=80)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_repeat_parse, op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns)
+    for query in (op2_repeat_parse, op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns, op10_minhash_odd)
 }
