@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ringlake.llm import binary, chat, minhash, mixing, packing, quality, repeats, token_counts, urls
+from ringlake.llm import binary, chat, embeddings, minhash, mixing, packing, quality, repeats, token_counts, urls
 from ringlake.llm.text import table
 from ringlake.sources.scratch import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_robust_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 def op2_repeat_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     # A row for each of the given rows: alike ones get the same answer.
@@ -92,5 +96,5 @@ def op10_minhash_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op2_repeat_parse, op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns, op10_minhash_odd)
+    for query in (op1_robust_graph, op2_repeat_parse, op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns, op10_minhash_odd)
 }
