@@ -17,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ringlake.llm.text import word_count
+from ringlake.sources.scratch import written
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 RANGE_ROWS = 2048
+FEW_SOURCES = 10_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -109,9 +111,13 @@ def mix(
     targets = source_targets(sizes, weights, max_epochs).withColumn(
         "named", F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
     )
+    # One row per source, broadcast only while these are few; else the join splits hot sources.
+    targets = written(targets.drop("source"), "source-targets")
+    if targets.count() <= FEW_SOURCES:
+        targets = F.broadcast(targets)
     position = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
     ranges = F.floor(position * (1 + F.expr(f"source_rows div {int(range_rows)}")))
-    placed = rows.drop("source").join(targets.drop("source"), "named").withColumn("range", ranges)
+    placed = rows.drop("source").join(targets, "named").withColumn("range", ranges)
     starts = (
         placed.groupBy("named", "range")
         .agg(F.sum("size").alias("range_size"))
