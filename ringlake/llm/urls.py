@@ -21,7 +21,7 @@ from ringlake.sources.scratch import written
 
 ORDER = 4
 ALPHABET = 256  # symbols that order 0 spreads its unseen mass over
-MISSED = 0.02  # share of allowed held-out URLs that may fall below the threshold
+MISSED = 0.02  # the threshold lies midway between this quantile of allowed and its mirror of blocked URLs
 START, STOP = "\u0002", "\u0003"
 
 
@@ -130,11 +130,11 @@ def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rul
     wanted = counts.select("gram").distinct()
     # Half of the rule URLs teach, the other half sets the threshold: one number.
     taught = written(scored_grams(counts.where("fold = 0"), wanted), "url-ratios")
-    held_out = _scores(grams.where("fold = 1 AND matched.verdict = 'allow'"), taught)
-    low = held_out.agg(F.percentile_approx("score", MISSED, 10_000)).first()[0]
-    models = counts.agg(F.sum("n_allow"), F.sum("n_block")).first()
-    known = all(models)
-    threshold = low if known and low is not None else 0.0
+    held_out = _scores(grams.where("fold = 1 AND matched IS NOT NULL"), taught, "matched.verdict")
+    quantile = lambda which, share: F.percentile_approx(F.when(F.col("verdict") == which, F.col("score")), share, 10_000)
+    low, high = held_out.agg(quantile("allow", MISSED), quantile("block", 1 - MISSED)).first()
+    known = all(counts.agg(F.sum("n_allow"), F.sum("n_block")).first())
+    threshold = (low + high) / 2 if known and low is not None and high is not None else 0.0
 
     ratios = written(scored_grams(counts, wanted), "url-ratios") if known else wanted.withColumn("ratio", F.lit(0.0))
     key = ["page_id", "line"]
@@ -151,6 +151,6 @@ def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rul
     )
 
 
-def _scores(grams: DataFrame, ratios: DataFrame) -> DataFrame:
+def _scores(grams: DataFrame, ratios: DataFrame, *more: str) -> DataFrame:
     """(page_id, line, score): mean ratio over the n-grams of a URL, one row for each id and line."""
-    return grams.join(ratios, "gram").groupBy("page_id", "line").agg(F.avg("ratio").alias("score"))
+    return grams.join(ratios, "gram").groupBy("page_id", "line", *more).agg(F.avg("ratio").alias("score"))
