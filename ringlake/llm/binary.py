@@ -28,7 +28,7 @@ SCALE = 20  # frequencies add up to 2 ** SCALE, which also bounds the vocabulary
 LANES = 1024
 BLOCK_STEPS = 256
 CHECK_STEPS = 128
-SEGMENT_IDS = 1 << 22
+SEGMENT_IDS = 1 << 21
 LOW = np.uint64(1 << 31)  # states stay in [2 ** 31, 2 ** 63)
 WORD = np.uint64(32)
 MASK = np.uint64((1 << SCALE) - 1)

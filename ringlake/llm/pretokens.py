@@ -17,7 +17,7 @@ import numpy as np
 
 # Surrogates cannot occur in a valid text, so they can mark ends.
 DOC_END, SPECIAL = "\ud800", "\ud801"
-MAX_CHARS = 3_000_000  # characters of texts that are joined into one run; a longer text is a run of its own
+MAX_CHARS = 1_000_000  # characters of texts that are joined into one run; a longer text is a run of its own
 
 L, N, O, A1, A2, W, W_SPACE, W_OTHER, STOP = range(9)
 FRESH, LETTERS, DIGITS, OTHERS, BLANKS, JOINING, ONE_MORE, TWO_MORE = range(8)
