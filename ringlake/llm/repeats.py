@@ -36,8 +36,8 @@ from ringlake.sources.scratch import written
 
 SPAN = 100
 GRAM = 24
-BLOCK_BYTES = 16 << 20
-TASK_BYTES = 4 << 20  # bytes that are hashed at a time, or one document
+BLOCK_BYTES = 4 << 20
+TASK_BYTES = 1 << 20  # bytes that are hashed at a time, or one document
 BUCKET_PHRASES = 2000
 
 _P = np.uint64(0x9E3779B97F4A7C15)
