@@ -8,7 +8,7 @@
 3. Each shard links its nodes by robust pruning: of its ``POOL`` nearest, a node keeps
    one unless it is nearer to one kept before.  The lists of a node from all its
    shards are united.
-4. Each node is searched in its home shard: greedily from the shard's medoid with a
+4. Each node is searched in its home shard: greedily from the shard's medoids with a
    beam, and from there through everything that is within range.
 5. What is found is verified by cosines in double precision, counted in the task, and
    leaves it as a count and a few edges a node; pairs are never rows.
@@ -28,8 +28,8 @@ from ringlake.sources.scratch import written
 
 SHARD, SAMPLE, FANOUT, LEVELS = 1024, 1024, 32, 6
 MARGIN = 0.2
-POOL, DEGREE, ALPHA = 64, 24, 1.2
-BEAM, STRIDE, CHUNK = 24, 16, 256
+POOL, FAR, DEGREE, ALPHA = 64, 8, 24, 1.2
+MEDOIDS, BEAM, STRIDE, CHUNK = 16, 24, 16, 256
 AUDIT, RECALL, TRIES = 256, 0.99, 3
 
 
@@ -110,17 +110,20 @@ def pruned_lists(x: np.ndarray) -> np.ndarray:
     out = np.full((n, max(degree, 1)), -1, dtype=np.int64)
     if n < 2:
         return out
+    # A few rows from anywhere lead out of groups that are larger than the pool.
+    far = np.random.default_rng(n).integers(0, n, (n, FAR))
     for at in range(0, n, CHUNK):
         block = x[at : at + CHUNK]
         likeness = block @ x.T
         likeness[np.arange(len(block)), np.arange(at, at + len(block))] = -2
         near = np.argpartition(-likeness, pool - 1, axis=1)[:, :pool]
+        near = np.concatenate([near, far[at : at + CHUNK]], axis=1)
         order = np.argsort(-np.take_along_axis(likeness, near, axis=1), axis=1, kind="stable")
         near = np.take_along_axis(near, order, axis=1)
         away = np.sqrt(np.maximum(2 - 2 * np.take_along_axis(likeness, near, axis=1), 0))
         pooled = x[near]
         between = np.sqrt(np.maximum(2 - 2 * pooled @ pooled.transpose(0, 2, 1), 0))
-        alive = np.ones_like(away, dtype=bool)
+        alive = near != np.arange(at, at + len(block))[:, None]
         each = np.arange(len(block))
         for turn in range(degree):
             first = alive.argmax(axis=1)
@@ -145,12 +148,26 @@ def _link_shard(table: pa.Table) -> pa.Table:
 
 
 # --- search ---------------------------------------------------------------------------
-def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, medoid: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, row) with cosine from ``reach`` on, walking ``near`` from the medoid."""
+def medoids(x: np.ndarray, most: int) -> np.ndarray:
+    """The row nearest to the mean, then again and again the one farthest from those taken."""
+    taken = [int((x @ x.mean(axis=0)).argmax())]
+    likeness = x @ x[taken[0]]
+    while len(taken) < min(most, len(x)):
+        taken.append(int(likeness.argmin()))
+        np.maximum(likeness, x @ x[taken[-1]], out=likeness)
+    return np.unique(taken)
+
+
+def range_search(x: np.ndarray, near: np.ndarray, queries: np.ndarray, starts: np.ndarray, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (query, row) with cosine from ``reach`` on, walking ``near`` from the starts.
+
+    A query that is a row itself joins the starts, so its own list is always read.
+    """
     n, m = len(x), len(queries)
     likeness = np.full((m, n), -2.0)
     walked = np.zeros((m, n), dtype=bool)
-    likeness[:, medoid] = x[queries] @ x[medoid]
+    likeness[:, starts] = x[queries] @ x[starts].T
+    likeness[np.arange(m), queries] = 1.0
     active = np.arange(m)
     beam = min(BEAM, n)
     while len(active):
@@ -189,13 +206,13 @@ def _searcher(reach: float):
         owner = np.repeat(np.arange(len(node)), sizes)
         turn = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         near[owner[inside], turn[inside]] = place[inside]
-        medoid = int((x @ x.mean(axis=0)).argmax())
+        starts = medoids(x, MEDOIDS)
         found = copies - 1
         group = np.arange(len(node))
         queries = np.flatnonzero(home)
         for at in range(0, len(queries), CHUNK):
             some = queries[at : at + CHUNK]
-            q, r = range_search(x, near, some, medoid, reach)
+            q, r = range_search(x, near, some, starts, reach)
             q = some[q]
             apart = q != r
             q, r = q[apart], r[apart]
