@@ -1,4 +1,4 @@
-"""Numbering rows inside groups, with hot groups split over tasks."""
+"""Numbering rows inside groups, with groups of any size split over tasks."""
 
 from __future__ import annotations
 
@@ -6,71 +6,37 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ringlake.sources.scratch import written
 
-# A group is hot when it outgrows both a fair share of the rows and a plain size.
-# Every hot group holds more than total / FAIR_SHARES rows, so there are fewer than
-# FAIR_SHARES of them: that is the size bound of every broadcast below.
-FAIR_SHARES = 4096
-SMALL_GROUP = 1_000_000
+# Runs that the rows are sorted into.  Also bounds what is broadcast below: a run
+# boundary cuts at most one group, so fewer than RUNS groups are cut.
+RUNS = 256
 
 
-def row_numbers(
-    rows: DataFrame,
-    by: str,
-    order: list[Column],
-    name: str,
-    fair_shares: int = FAIR_SHARES,
-    small_group: int = SMALL_GROUP,
-) -> DataFrame:
+def row_numbers(rows: DataFrame, by: str, order: list[Column], name: str, runs: int = RUNS) -> DataFrame:
     """``row_number()`` per value of ``by`` in ``order``.
 
-    A narrow pass measures the groups (partial aggregation, one column).  Without a
-    hot group, which is the usual case, the plan is one window with one exchange.
-    Otherwise only the hot groups take the range-sorted way.
+    The rows are range-sorted by group, order and a unique copy number into ``runs``
+    runs of about equal size, and written: positions are read back, never computed
+    twice, and survive a lost executor.  Inside a run a window numbers each group's part.
+    A group that a run boundary cuts continues from the size of its parts in
+    earlier runs, so neither a hot group nor a group of equal rows is one task.
     """
-    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    measured = sizes.agg(F.sum("n").alias("total"), F.max("n").alias("largest")).first()
-    limit = max(small_group, (measured["total"] or 0) // fair_shares)
-    if (measured["largest"] or 0) <= limit:
-        return _numbered(rows, by, order, name)
-
-    # Written, so that both sides below agree on which groups are hot.
-    hot = F.broadcast(written(sizes.where(F.col("n") > limit).select(F.col(by).alias("__hot")), "hot-groups"))
-    is_hot = F.col(by).eqNullSafe(F.col("__hot"))
-    usual = _numbered(rows.join(hot, is_hot, "left_anti"), by, order, name)
-    runs = max(2, -(-measured["total"] // limit))
-    return usual.unionByName(_numbered_in_runs(rows.join(hot, is_hot, "left_semi"), by, order, name, runs))
-
-
-def _numbered(rows: DataFrame, by: str, order: list[Column], name: str) -> DataFrame:
-    return rows.withColumn(name, F.row_number().over(Window.partitionBy(by).orderBy(*order)))
-
-
-def _numbered_in_runs(rows: DataFrame, by: str, order: list[Column], name: str, runs: int) -> DataFrame:
-    """Range-sort the rows into runs, number inside a run, add the sizes of earlier runs.
-
-    The unique ``__copy`` lets equal rows fall into different runs, so a group of
-    copies is split too.  Both tables are written before they are used: positions
-    are read back, never computed twice, and survive a lost executor.
-    """
-    copies = written(rows.withColumn("__copy", F.monotonically_increasing_id()), "rank-copies")
+    copies = rows.withColumn("__copy", F.monotonically_increasing_id())
     keys = [F.col(by), *order, F.col("__copy")]
     sorted_runs = written(
-        copies.repartitionByRange(runs, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumns({"__run": F.spark_partition_id(), "__at": F.monotonically_increasing_id()}),
+        written(copies, "rank-copies").repartitionByRange(runs, *keys).withColumn("__run", F.spark_partition_id()),
         "rank-runs",
     )
-    # At most (hot groups + runs) rows: a run boundary cuts at most one group.
-    earlier = Window.partitionBy("__by").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
-    spans = (
-        sorted_runs.groupBy(F.col(by).alias("__by"), F.col("__run").alias("__r"))
-        .agg(F.min("__at").alias("__start"), F.count(F.lit(1)).alias("__n"))
-        .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+    inside = Window.partitionBy("__run", by).orderBy(*order, "__copy")
+    # Rows of a group in earlier runs; only for groups that begin there.
+    parts = sorted_runs.groupBy(F.col(by).alias("__by"), F.col("__run").alias("__r")).agg(F.count(F.lit(1)).alias("__n"))
+    spread = parts.groupBy("__by").agg(F.sort_array(F.collect_list(F.struct("__r", "__n"))).alias("__parts"))
+    cut = spread.where(F.size("__parts") > 1)
+    earlier = F.aggregate(
+        F.filter("__parts", lambda p: p["__r"] < F.col("__run")), F.lit(0).cast("long"), lambda n, p: n + p["__n"]
     )
-    same_span = F.col(by).eqNullSafe(F.col("__by")) & (F.col("__run") == F.col("__r"))
-    number = F.col("__before") + F.col("__at") - F.col("__start") + 1
     return (
-        sorted_runs.join(F.broadcast(spans), same_span)
-        .withColumn(name, number.cast("int"))
+        sorted_runs.withColumn("__at", F.row_number().over(inside))
+        .join(F.broadcast(cut), F.col(by).eqNullSafe(F.col("__by")), "left")
+        .withColumn(name, (F.col("__at") + F.coalesce(earlier, F.lit(0))).cast("int"))
         .select(*rows.columns, name)
     )

@@ -18,7 +18,7 @@ not by the number of rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 _CARRY, _ARRIVE, _LEAVE = -1, 0, 1
 
@@ -39,7 +39,7 @@ def trailing_counts(rows: DataFrame, keys: list[str], at: str, seconds: int, nam
                 _move(F.col(at) + span, _LEAVE, -F.col("arrivals")),
             )
         ),
-    ).withColumn("slice", F.date_trunc("minute", "moment"))
+    ).withColumn("slice", _minutes(rows.schema[at].dataType))
 
     earlier = (
         Window.partitionBy(*keys)
@@ -72,6 +72,14 @@ def trailing_counts(rows: DataFrame, keys: list[str], at: str, seconds: int, nam
     )
 
 
+def _minutes(dtype: T.DataType) -> Column:
+    """Minutes of ``moment`` since the epoch, in its own order whatever the session's zone does."""
+    if isinstance(dtype, T.TimestampType):
+        return F.floor(F.unix_micros("moment") / 60_000_000)
+    date = F.unix_date(F.col("moment").cast("date")).cast("long")
+    return date * 1440 + F.hour("moment") * 60 + F.minute("moment")
+
+
 def _move(moment: Column, kind: int, change: Column) -> Column:
     return F.struct(moment.alias("moment"), F.lit(kind).alias("kind"), change.alias("change"))
 

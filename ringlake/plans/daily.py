@@ -6,7 +6,7 @@ than once per model, so callers pass a written table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ringlake.functions import rules
 from ringlake.functions.clock import Clock
@@ -17,12 +17,17 @@ DAY = "registration_date"
 CELL_ORDER = ["package_name", "zone", "package_type", "device_type", "payment_method"]
 
 
+def nulls_last(*columns: str) -> list[Column]:
+    """Fields for a struct whose minimum is the first row in ascending order, nulls last."""
+    return [field for c in columns for field in (F.col(c).isNull().alias(f"no_{c}"), F.col(c))]
+
+
 def daily_kpis(fact: DataFrame) -> DataFrame:
     """Totals per day with the package and zone of the largest cell.
 
     ``new_customers`` counts the cells that served exactly one customer.
     """
-    largest_first = F.struct((-F.col("total_registrations")).alias("size"), *CELL_ORDER)
+    largest_first = F.struct((-F.col("total_registrations")).alias("size"), *nulls_last(*CELL_ORDER))
     day = fact.groupBy(DAY).agg(
         F.sum("total_registrations").alias("total_subscriptions"),
         F.sum("cancelled_registrations").alias("total_cancellations"),
@@ -47,7 +52,8 @@ def daily_kpis(fact: DataFrame) -> DataFrame:
 def daily_top_by_sum(fact: DataFrame, column: str = "package_name", name: str = "top_package") -> DataFrame:
     """The value of ``column`` with most registrations per day over all its cells."""
     sums = fact.groupBy(DAY, column).agg(F.sum("total_registrations").alias("registrations"))
-    best = F.min(F.struct((-F.col("registrations")).alias("size"), F.col(column).alias("value")))
+    ordered = [F.col(column).isNull().alias("no_value"), F.col(column).alias("value")]
+    best = F.min(F.struct((-F.col("registrations")).alias("size"), *ordered))
     return (
         sums.groupBy(DAY)
         .agg(best.alias("best"))

@@ -10,7 +10,7 @@ from ringlake.operators.ranking import row_numbers
 from ringlake.schemas import FACT_KEYS, SILVER_COLUMNS
 
 def newest_first():
-    """Newest activation first; creation time and id make the order total."""
+    """Newest activation first, then creation time and id; rows alike in these may swap places."""
     return [
         F.col("activation_date").desc_nulls_last(),
         F.col("created_at").desc_nulls_last(),
@@ -32,9 +32,9 @@ def subscription_details(silver: DataFrame) -> DataFrame:
     )
 
 
-def dim_subscriptions(silver: DataFrame, **skew_limits: int) -> DataFrame:
+def dim_subscriptions(silver: DataFrame, **ranking: int) -> DataFrame:
     return row_numbers(
-        subscription_details(silver), "customer_id", newest_first(), "customer_subscription_rank", **skew_limits
+        subscription_details(silver), "customer_id", newest_first(), "customer_subscription_rank", **ranking
     )
 
 

@@ -26,29 +26,57 @@ def land(batch: DataFrame, base: str, at: Column | None = None) -> None:
     )
 
 
-def scan(spark: SparkSession, base: str, date_filter: str | None = None, merge_schema: bool = False) -> DataFrame:
+def scan(
+    spark: SparkSession,
+    base: str,
+    date_filter: str | None = None,
+    merge_schema: bool = False,
+    conform: bool = False,
+) -> DataFrame:
     """Read the tree, or the part named by ``date_filter`` such as ``year=2024/month=01``.
 
-    The filter is a predicate on partition columns, so unneeded directories are
-    pruned from the listing and the partition columns stay in the result.  With
+    Steps of the filter that begin the landing order are a folder: only that folder is
+    listed, and the partition columns stay in the result.  Other steps are predicates
+    on partition columns.  A part that does not exist has no rows.  With
     ``merge_schema`` the schema is the union of the files' own schemas.
 
-    Some writers store a column without any value as a null-typed integer.  The
-    vectorized reader refuses such a file; with ``spark.sql.parquet.enableVectorizedReader``
-    off it is read as NULLs.
+    Some writers store a column without any value as a null-typed integer, which the
+    contract's schema cannot read.  With ``conform`` the files' own schemas are merged
+    and cast to the contract: such a column is NULL there.  Name the parts that have such
+    files by ``date_filter``: within one part, a column is either typed or not.
     """
+    rest, folder = dict(_steps(date_filter)), base.rstrip("/")
+    for name in LANDING_PARTITIONS:
+        if name not in rest:
+            break
+        folder += f"/{name}={rest.pop(name)}"
+    if date_filter and not _exists(spark, folder):
+        return spark.createDataFrame([], BRONZE_SCHEMA)
     reader = spark.read.option("basePath", base)
-    if merge_schema:
-        reader = reader.option("mergeSchema", "true")
+    if merge_schema or conform:
+        tree = reader.option("mergeSchema", "true").parquet(folder)
     else:
-        reader = reader.schema(BRONZE_SCHEMA)
-    tree = reader.parquet(base)
-    return tree.where(partition_predicate(date_filter)) if date_filter else tree
+        tree = reader.schema(BRONZE_SCHEMA).parquet(folder)
+    if conform:
+        held = set(tree.columns)
+        tree = tree.select(
+            *[(F.col(f.name) if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMA]
+        )
+    return tree.where(partition_predicate("/".join(f"{k}={v}" for k, v in rest.items()))) if rest else tree
 
 
-def partition_predicate(date_filter: str) -> Column:
-    steps = [step.split("=", 1) for step in date_filter.strip("/").split("/")]
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
+def _steps(date_filter: str | None) -> list[tuple[str, str]]:
+    steps = [tuple(step.split("=", 1)) for step in (date_filter or "").strip("/").split("/") if step]
     unknown = [step[0] for step in steps if len(step) != 2 or step[0] not in LANDING_PARTITIONS]
     if unknown:
         raise ValueError(f"not a landing partition: {unknown}")
-    return reduce(lambda a, b: a & b, [F.col(name) == int(value) for name, value in steps])
+    return steps
+
+
+def partition_predicate(date_filter: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(name) == int(value) for name, value in _steps(date_filter)])

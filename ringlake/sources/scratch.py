@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,7 +23,25 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_folders.setdefault(context.applicationId, tempfile.mkdtemp(prefix="ringlake-"))
+    folder = _local_folders.get(context.applicationId)
+    if folder is None:
+        folder = _local_folders[context.applicationId] = tempfile.mkdtemp(prefix="ringlake-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at its end, when whatever reads them has been written itself."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+            files.delete(hadoop_path, True)
+            files.cancelDeleteOnExit(hadoop_path)
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -28,6 +51,8 @@ def new_folder(spark: SparkSession, label: str) -> str:
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(hadoop_path)  # only an existing path can be marked for removal
     files.deleteOnExit(hadoop_path)
+    if _scopes:
+        _scopes[-1].append(path)
     return path
 
 

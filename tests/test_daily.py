@@ -100,3 +100,15 @@ def test_summary_fans_out_per_anomaly(spark):
     assert last == [9000, 90000]
     assert all(r.total_subscriptions == 99000 for r in per_day[DAY + timedelta(days=5)])
     assert {r.generated_at for r in summary} == {CLOCK.now}
+
+
+def test_null_loses_ties(spark):
+    day = date(2024, 1, 1)
+    rows = [(day, "A", None, 3, 1), (day, "A", "north", 3, 1), (day, None, "south", 3, 1), (day, None, "west", 2, 1)]
+    fact = fact_rows(spark, rows)
+    assert [(r.top_package, r.top_zone) for r in daily_kpis(fact).collect()] == [("A", "north")]
+    device = fact.withColumns({"device_type": F.lit(None).cast("string"), "zone": F.lit("z")})
+    mixed = device.unionByName(device.withColumns({"device_type": F.lit("modem"), "zone": F.lit("a")}))
+    assert daily_kpis(mixed.where("package_name = 'A'")).first().top_zone == "a"
+    two = fact_rows(spark, [(day, None, "z", 4, 1), (day, "B", "z", 4, 1)])
+    assert daily_top_by_sum(two).first().top_package == "B"

@@ -1,6 +1,7 @@
 from datetime import date, timedelta
 import random
 
+import pytest
 from pyspark.sql import Window, functions as F
 
 from helpers import plan, same_rows, silver_rows
@@ -24,15 +25,10 @@ def _expected(rows):
     return rows.withColumn("r", F.row_number().over(Window.partitionBy("c").orderBy(*_order())))
 
 
-def test_usual_groups_take_one_window(spark):
-    numbered = row_numbers(_rows(spark), "c", _order(), "r")
-    assert plan(numbered).count("Window [") == 1
-    assert same_rows(numbered, _expected(_rows(spark)))
-
-
-def test_hot_groups_are_split_and_equal(spark):
+@pytest.mark.parametrize("runs", [1, 8, 50])
+def test_equal_to_one_window(spark, runs):
     rows = _rows(spark)
-    numbered = row_numbers(rows, "c", _order(), "r", fair_shares=50, small_group=20)
+    numbered = row_numbers(rows, "c", _order(), "r", runs=runs)
     assert "rank-runs" in plan(numbered)
     assert same_rows(numbered, _expected(rows))
 
@@ -40,7 +36,7 @@ def test_hot_groups_are_split_and_equal(spark):
 def test_a_group_of_copies_is_split(spark):
     """Equal rows get every number once, from more than one run."""
     rows = spark.createDataFrame([("hot", date(2024, 1, 1), 0)] * 500 + [("x", date(2024, 1, 1), 0)], "c string, d date, i int")
-    numbered = row_numbers(rows, "c", _order(), "r", fair_shares=50, small_group=20)
+    numbered = row_numbers(rows, "c", _order(), "r", runs=20)
     assert sorted(r.r for r in numbered.where("c = 'hot'").collect()) == list(range(1, 501))
     assert sum("rank-runs" in name for name in numbered.inputFiles()) > 5
     assert numbered.where("c = 'x'").first().r == 1
@@ -60,7 +56,7 @@ def test_newest_subscription_is_first(spark):
         {"subscription_id": "VT5", "activation_date": None},
         {"subscription_id": "VT6", "customer_id": "KH2"},
     )
-    for options in ({}, {"fair_shares": 2, "small_group": 2}):
+    for options in ({}, {"runs": 3}):
         ranked = dim_subscriptions(silver, **options).collect()
         assert {r.subscription_id: r.customer_subscription_rank for r in ranked} == {
             "VT3": 1, "VT4": 2, "VT2": 3, "VT1": 4, "VT6": 1,

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import CLOCK, DEFAULTS, bronze_rows, plan, same_rows, silver_rows
-from ringlake.schemas import BRONZE_COLUMNS, SILVER_COLUMNS
+from ringlake.schemas import BRONZE_COLUMNS, BRONZE_SCHEMA, SILVER_COLUMNS
 from ringlake.sources import bronze, jdbc, scratch, tables
 
 
@@ -48,8 +48,10 @@ def test_date_filter_prunes_folders(spark, tmp_path):
     _, base = _landed(spark, tmp_path)
     part = bronze.scan(spark, base, "year=2024/month=01/")
     assert part.count() == 2
-    scan = next(line for line in plan(part).splitlines() if "FileScan" in line)
-    assert "month#" in scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {os.path.dirname(f).rsplit("raw/", 1)[1] for f in part.inputFiles()} == {"year=2024/month=01/day=10/hour=03"}
+    late = bronze.scan(spark, base, "day=31")  # no leading step: a predicate on partitions
+    scan = next(line for line in plan(late).splitlines() if "FileScan" in line)
+    assert late.count() == 1 and "day#" in scan.split("PartitionFilters: [")[1].split("]")[0]
     for wrong in ("2024-01", "minute=3", "year"):
         with pytest.raises(ValueError):
             bronze.scan(spark, base, wrong)
@@ -82,11 +84,19 @@ def test_files_of_other_writers(spark, tmp_path):
         pq.write_table(pa.Table.from_pylist([row]), f"{folder}/batch.parquet")
     typed = bronze.scan(spark, base, "year=2024/month=02")
     assert typed.select("anomaly_reason", "month", "minute").collect() == [("x", 2, 5)]
-    spark.conf.set("spark.sql.parquet.enableVectorizedReader", "false")
-    try:
-        assert {(r.month, r.anomaly_reason) for r in bronze.scan(spark, base).collect()} == {(1, None), (2, "x")}
-    finally:
-        spark.conf.unset("spark.sql.parquet.enableVectorizedReader")
+    empty = bronze.scan(spark, base, "year=2024/month=01", conform=True)
+    assert empty.schema == typed.schema
+    assert {(r.month, r.anomaly_reason) for r in typed.unionByName(empty).collect()} == {(1, None), (2, "x")}
+
+
+def test_only_the_filtered_folder_is_listed(spark, tmp_path):
+    _, base = _landed(spark, tmp_path)
+    os.makedirs(f"{base}/year=2023/odd=1")
+    with open(f"{base}/year=2023/odd=1/x.parquet", "w") as file:
+        file.write("no parquet")
+    assert bronze.scan(spark, base, "year=2024/month=01").count() == 2
+    assert bronze.scan(spark, base, "year=2024/month=01/day=11").count() == 0
+    assert bronze.scan(spark, base, "year=2024/month=01").columns == [f.name for f in BRONZE_SCHEMA]
 
 
 def test_replace_then_append(spark, tmp_path):
@@ -174,3 +184,13 @@ def test_written_rows_and_size(spark):
     kept = scratch.written(rows, "check")
     assert same_rows(kept, rows) and kept.columns == rows.columns
     assert CLOCK.now == kept.first().last_updated
+
+
+def test_scratch_folders_go(spark):
+    first = scratch.shared_folder(spark)
+    assert scratch.shared_folder(spark) == first
+    with scratch.scope(spark):
+        kept = scratch.written(silver_rows(spark, {}), "check")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)

@@ -43,6 +43,25 @@ def test_matches_brute_force(spark, kind, seconds):
     assert all(r.n == found[r.k, r.at] for r in attached)
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+@pytest.mark.parametrize("day", [datetime(2024, 3, 10), datetime(2024, 11, 3)])
+def test_clock_changes_of_the_session_zone(spark, kind, day):
+    """Expected counts come from seconds that know no zone."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        seconds = range(0, 6 * 3600, 17)
+        start = f"timestamp_ntz'{day:%Y-%m-%d} 00:00:00'" if kind == "timestamp_ntz" else f"timestamp'{day:%Y-%m-%d} 00:00:00'"
+        df = spark.createDataFrame([(s,) for s in seconds], "s long").selectExpr(
+            "'a' AS k", "s", f"{start} + make_dt_interval(0, 0, 0, s) AS at"
+        )
+        counts = trailing_counts(df, ["k"], "at", 3600, "n")
+        got = {r.s: r.n for r in attach_counts(df, counts, ["k"], "at", "n").select("s", "n").collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert got == {s: sum(1 for t in seconds if s - 3600 <= t <= s) for s in seconds}
+
+
 def test_edges_are_exact(spark):
     first = START + timedelta(minutes=59, seconds=59, microseconds=999999)
     rows = [("a", first), ("a", first + timedelta(hours=1)), ("b", first), ("b", first + timedelta(hours=1, microseconds=1))]
