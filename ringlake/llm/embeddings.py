@@ -27,7 +27,7 @@ from ringlake.llm.components import components
 from ringlake.sources.scratch import written
 
 SHARD, SAMPLE, FANOUT, LEVELS = 1024, 1024, 32, 6
-MARGIN = 0.2
+GUESTS = 2
 POOL, FAR, DEGREE, ALPHA = 64, 8, 24, 1.2
 MEDOIDS, BEAM, STRIDE, CHUNK = 16, 24, 16, 256
 AUDIT, RECALL, TRIES = 256, 0.99, 3
@@ -56,7 +56,7 @@ def _fit(table: pa.Table) -> pa.Table:
     return pa.table({"path": table.column("path").slice(0, 1), "centers": pa.array([centers.ravel().tolist()], pa.list_(pa.float64()))})
 
 
-def _assigner(margin: float):
+def _assigner(guests: int):
     def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
@@ -68,7 +68,10 @@ def _assigner(margin: float):
                 centers = np.array(batch.column("centers")[int(some[0])].as_py()).reshape(-1, x.shape[1])
                 likeness = x[some] @ centers.T
                 best = likeness.argmax(axis=1)
-                near = likeness >= np.minimum(likeness.max(axis=1) - margin, np.partition(likeness, -2, axis=1)[:, -2])[:, None]
+                # Only a node at home becomes a guest elsewhere, so copies add up over levels, not multiply.
+                order = np.argsort(-likeness, axis=1, kind="stable")[:, : guests + 1]
+                at_home = batch.column("home").to_numpy(zero_copy_only=False)[some]
+                near = likeness >= np.where(at_home, np.take_along_axis(likeness, order[:, -1:], axis=1)[:, 0], likeness.max(axis=1))[:, None]
                 r, c = np.nonzero(near)
                 rows.append(some[r])
                 names += [f"{path}/{i}" for i in c.tolist()]
@@ -83,7 +86,7 @@ def _assigner(margin: float):
     return assigned
 
 
-def shards(nodes: DataFrame, margin: float) -> DataFrame:
+def shards(nodes: DataFrame, guests: int) -> DataFrame:
     """(node, copies, vector, path, home): every node once as at home, and as a guest elsewhere."""
     columns = ["node", "copies", "vector", "path", "home"]
     kind = nodes.schema["vector"].dataType.simpleString()
@@ -96,7 +99,7 @@ def shards(nodes: DataFrame, margin: float) -> DataFrame:
         picked = now.join(sizes, "path").where(chance < SAMPLE / F.col("n")).select("path", "n", "node", "vector")
         centers = written(picked.groupBy("path").applyInArrow(_fit, "path string, centers array<double>"), "centers")
         split = now.join(centers, "path").mapInArrow(
-            _assigner(margin), f"node long, copies long, vector {kind}, path string, home boolean"
+            _assigner(guests), f"node long, copies long, vector {kind}, path string, home boolean"
         )
         now = written(split.unionByName(now.join(centers, "path", "left_anti").select(*columns)), "shards")
     return now
@@ -239,8 +242,8 @@ def _searcher(reach: float):
     return searched
 
 
-def _search(nodes: DataFrame, reach: float, margin: float) -> DataFrame:
-    placed = shards(nodes, margin)
+def _search(nodes: DataFrame, reach: float, guests: int) -> DataFrame:
+    placed = shards(nodes, guests)
     lists = placed.groupBy("path").applyInArrow(_link_shard, "node long, near array<long>")
     # A list has at most twice DEGREE ids on average in each of a node's few shards.
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
@@ -304,7 +307,7 @@ def near_embeddings(
         "nodes",
     )
     for attempt in range(TRIES):
-        found = _search(nodes, reach, MARGIN * 2**attempt)
+        found = _search(nodes, reach, GUESTS * 2**attempt)
         recall = audit(nodes, found, reach)
         if recall >= RECALL:
             break
