@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import argparse
 
-from ringlake.plans.refresh import refresh
+from ringlake.plans.refresh import Names, refresh
 from ringlake.plans.silver import BurstRule
 from ringlake.schemas import BURST_SECONDS, BURST_THRESHOLD
 from ringlake.session import build_session
@@ -16,9 +16,11 @@ def arguments(words: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ringlake", description=__doc__)
     parser.add_argument("--bronze", required=True, help="root of the landed Parquet tree")
     parser.add_argument("--warehouse", required=True, help="folder for silver and gold tables")
-    parser.add_argument("--date-filter", help="part of the tree, for example year=2024/month=01")
+    parser.add_argument("--date-filter", help="replace this part of the tree only, for example year=2024/month=01")
     parser.add_argument("--merge-schema", action="store_true", help="union the schemas of the files")
-    parser.add_argument("--silver-table", default="silver.subscriptions")
+    parser.add_argument("--catalog", help="catalog of all tables")
+    parser.add_argument("--silver-database", default="silver")
+    parser.add_argument("--gold-database", default="gold")
     parser.add_argument("--burst", action="store_true", help="also flag registration bursts")
     parser.add_argument("--burst-threshold", type=int, default=BURST_THRESHOLD)
     parser.add_argument("--burst-seconds", type=int, default=BURST_SECONDS)
@@ -42,7 +44,8 @@ def main(words: list[str] | None = None) -> None:
         bronze.scan(spark, args.bronze, args.date_filter, args.merge_schema),
         args.warehouse,
         burst=BurstRule(args.burst_threshold, args.burst_seconds) if args.burst else None,
-        silver_table=args.silver_table,
+        names=Names.within(args.silver_database, args.gold_database, args.catalog),
+        part=args.date_filter,
         mirror=mirror,
         mirror_models=args.jdbc_models,
         latest_package=args.latest_package,

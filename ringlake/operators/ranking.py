@@ -6,20 +6,18 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ringlake.sources.scratch import written
 
-# Runs that the rows are sorted into.  Also bounds what is broadcast below: a run
-# boundary cuts at most one group, so fewer than RUNS groups are cut.
-RUNS = 256
 
-
-def row_numbers(rows: DataFrame, by: str, order: list[Column], name: str, runs: int = RUNS) -> DataFrame:
+def row_numbers(rows: DataFrame, by: str, order: list[Column], name: str, runs: int | None = None) -> DataFrame:
     """``row_number()`` per value of ``by`` in ``order``.
 
     The rows are range-sorted by group, order and a unique copy number into ``runs``
-    runs of about equal size, and written: positions are read back, never computed
+    runs of about equal size (as many as the session has shuffle partitions), and written: positions are read back, never computed
     twice, and survive a lost executor.  Inside a run a window numbers each group's part.
     A group that a run boundary cuts continues from the size of its parts in
-    earlier runs, so neither a hot group nor a group of equal rows is one task.
+    earlier runs, so neither a hot group nor a group of equal rows is one task.  A
+    boundary cuts at most one group: fewer groups than runs are broadcast below.
     """
+    runs = runs or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     copies = rows.withColumn("__copy", F.monotonically_increasing_id())
     keys = [F.col(by), *order, F.col("__copy")]
     sorted_runs = written(

@@ -312,6 +312,26 @@ FINAL = {
 }
 
 
+FINAL |= {
+    "refreshed_dim": FINAL["dim_subscriptions"],
+    "refreshed_customers": FINAL["customer_behavior"],
+    "refreshed_summary": FINAL["daily_summary"],
+    "refreshed_row_counts": FINAL["stage_row_counts"],
+    "refresh_of_nothing": "SELECT 'tables' AS stage, count(*) AS \"rows\" FROM bronze WHERE FALSE",
+    "refresh_incremental": FINAL["silver_subscriptions_burst"],
+    "daily_top_zone_nulls": """
+        SELECT registration_date, package_name AS top_package, zone AS top_zone FROM (
+          SELECT *, row_number() OVER (PARTITION BY registration_date ORDER BY total_registrations DESC,
+                   package_name NULLS LAST, zone NULLS LAST, package_type NULLS LAST, device_type NULLS LAST,
+                   payment_method NULLS LAST) AS place
+          FROM (SELECT CAST(created_at AS DATE) AS registration_date, package_name, package_type, device_type, payment_method,
+                       CASE WHEN CAST(substr(subscription_id, 3) AS BIGINT) % 3 <> 0 THEN zone END AS zone,
+                       count(*) AS total_registrations
+                FROM dim GROUP BY ALL))
+        WHERE place = 1""",
+}
+
+
 def sql_by_query() -> dict[str, str]:
     steps = ",\n".join(f"{name} AS ({body})" for name, body in STEPS.items())
     return {name: f"WITH {steps}\n{final}" for name, final in FINAL.items()}

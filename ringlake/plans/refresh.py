@@ -4,16 +4,42 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
+from ringlake.functions import rules
 from ringlake.functions.clock import Clock
 from ringlake.operators.quality import quality_report
 from ringlake.plans.customers import customer_behavior
 from ringlake.plans.daily import daily_summary
-from ringlake.plans.silver import BurstRule, burst_instants, to_silver
+from ringlake.plans.silver import BURST_COLUMN, BURST_KEYS, BurstRule, burst_counts, burst_instants, to_silver
 from ringlake.plans.subscriptions import dim_subscriptions, fact_daily
+from ringlake.operators.trailing import attach_counts
+from ringlake.schemas import LANDING_PARTITIONS, SILVER_COLUMNS, SILVER_PARTITIONS
 from ringlake.sources import jdbc, tables
-from ringlake.sources.scratch import written
+from ringlake.sources.bronze import filter_steps
+from ringlake.sources.scratch import scope, written
+
+# Stored with silver beside its contract: where a row landed, and its flag without bursts.
+LANDED, FLAGGED = "landed", "flagged"
+
+
+@dataclass(frozen=True)
+class Names:
+    """Tables that a refresh writes.  A three-part name puts a table into that catalog."""
+
+    silver: str = "silver.subscriptions"
+    dim: str = "silver.dim_subscriptions"
+    fact: str = "silver.fact_daily_registrations"
+    customers: str = "gold.customer_behavior"
+    summary: str = "gold.daily_summary"
+
+    @classmethod
+    def within(cls, silver: str = "silver", gold: str = "gold", catalog: str | None = None) -> Names:
+        """The usual names in other databases, all in one catalog."""
+        parts = {"silver": silver, "gold": gold}
+        moved = {k: v.split(".") for k, v in vars(cls()).items()}
+        prefix = f"{catalog}." if catalog else ""
+        return cls(**{k: f"{prefix}{parts[layer]}.{table}" for k, (layer, table) in moved.items()})
 
 
 @dataclass
@@ -30,47 +56,111 @@ def refresh(
     warehouse: str,
     clock: Clock = Clock(),
     burst: BurstRule | None = None,
-    silver_table: str = "silver.subscriptions",
+    names: Names = Names(),
     mirror: jdbc.JdbcTarget | None = None,
     mirror_models: bool = False,
     latest_package: bool = False,
     per_day: bool = False,
+    part: str | None = None,
 ) -> Refreshed:
     """Rebuild every table below ``warehouse``; nothing is written when bronze is empty.
 
-    Each table is computed once, from the written table before it.  Stage row
-    counts are observed while silver is written and cost no pass of their own; rows
-    of a task that is repeated after an executor loss may be counted twice there.
-    ``mirror`` also sends silver to a database; with ``mirror_models`` the models
-    follow under their own names, for example ``gold.daily_summary``.
+    ``part`` says that ``bronze`` is that part of the landed tree only, for example
+    ``year=2024/month=01``: its rows replace what silver has from there, all other
+    rows stay, and bursts and models are computed over the whole of silver.  Runs over
+    the parts of a tree, in any order and repeated, end like one run over all of it.
+
+    Each table is computed once, from the table before it, and written as a new version.
+    The versions become current together at the end, so a run that fails changes
+    nothing.  Stage row counts are observed while silver is written and cost no pass of
+    their own; rows of a task that is repeated after an executor loss may be counted
+    twice there.  ``mirror`` also sends silver to a database; with ``mirror_models``
+    the models follow under their own names, for example ``gold.daily_summary``.
     """
     done = Refreshed()
     if bronze.isEmpty():
         return done
     spark = bronze.sparkSession
-    for layer in ("silver", "gold"):
-        tables.ensure_database(spark, layer, f"{warehouse}/{layer}")
+    for table in vars(names).values():
+        if not tables.has_v2_catalog(spark, table):
+            database = table.rsplit(".", 1)[0]
+            tables.ensure_database(spark, database, f"{warehouse}/databases/{database}")
 
-    def save(df: DataFrame, name: str) -> DataFrame:
-        done.tables[name] = tables.save(df, name, f"{warehouse}/{name.replace('.', '/')}")
-        if mirror is not None and mirror_models:
-            jdbc.overwrite(done.tables[name], replace(mirror, table=name))
-        return done.tables[name]
-
-    bursts = None if burst is None else written(burst_instants(bronze, burst), "bursts")
-    read, kept = Observation("bronze"), Observation("silver")
-    total = F.count(F.lit(1)).alias("rows")
-    silver = to_silver(bronze.observe(read, total), clock, burst, bursts).observe(kept, total)
-    path = None if tables.has_v2_catalog(spark, silver_table) else f"{warehouse}/{silver_table.replace('.', '/')}"
-    tables.replace_silver(silver, silver_table, path)
-    done.rows = {"bronze": read.get["rows"], "silver": kept.get["rows"]}
-    silver = done.tables[silver_table] = tables.read_silver(spark, silver_table)
-    if mirror is not None:
-        jdbc.overwrite(silver, mirror)
+    def folder(name: str) -> str | None:
+        return None if tables.has_v2_catalog(spark, name) else f"{warehouse}/{name.replace('.', '/')}"
+
+    staged: list[str] = []
 
-    dim = save(dim_subscriptions(silver), "silver.dim_subscriptions")
-    fact = save(fact_daily(dim), "silver.fact_daily_registrations")
-    save(customer_behavior(dim, clock, latest_package), "gold.customer_behavior")
-    save(daily_summary(fact, clock, per_day), "gold.daily_summary")
-    done.report = quality_report(dim, fact, clock)
+    def stage(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+        staged.append(name)
+        return tables.stage(df, name, folder(name), partition_by)
+
+    with scope(spark):
+        read, kept = Observation("bronze"), Observation("silver")
+        total = F.count(F.lit(1)).alias("rows")
+        rows = _stored(bronze.observe(read, total), clock)
+        if part is None:
+            bursts = None if burst is None else written(burst_instants(bronze, burst), "bursts")
+        else:
+            rows = written(_with_other_parts(rows, names.silver, part), "silver-parts")
+            bursts = None if burst is None else written(_over(burst_counts(rows, burst), burst), "bursts")
+        flagged = _flagged(rows, bursts).observe(kept, total)
+        silver = stage(tables.with_partitions(flagged), names.silver, SILVER_PARTITIONS).select(*SILVER_COLUMNS)
+        done.rows = {"bronze": read.get["rows"], "silver": kept.get["rows"]}
+        dim = stage(dim_subscriptions(silver), names.dim)
+        fact = stage(fact_daily(dim), names.fact)
+        stage(customer_behavior(dim, clock, latest_package), names.customers)
+        stage(daily_summary(fact, clock, per_day), names.summary)
+    for name in staged:
+        done.tables[name] = tables.publish(spark, name, folder(name))
+    done.tables[names.silver] = tables.read_silver(spark, names.silver)
+    if mirror is not None:
+        jdbc.overwrite(done.tables[names.silver], mirror)
+        for name in staged[1:] if mirror_models else []:
+            jdbc.overwrite(done.tables[name], replace(mirror, table=name))
+    done.report = quality_report(done.tables[names.dim], done.tables[names.fact], clock)
     return done
+
+
+def _stored(bronze: DataFrame, clock: Clock) -> DataFrame:
+    """Silver without bursts, with the columns that are stored beside it."""
+    if set(LANDING_PARTITIONS) <= set(bronze.columns):
+        landed = F.concat_ws("/", *[F.concat(F.lit(f"{c}="), F.col(c).cast("int")) for c in LANDING_PARTITIONS])
+    else:
+        landed = F.lit(None).cast("string")
+    # The landing time rides along in a column that silver passes through unchanged.
+    carried = bronze.withColumn("anomaly_reason", F.struct("anomaly_reason", landed.alias(LANDED)))
+    return to_silver(carried, clock).withColumns(
+        {LANDED: F.col(f"anomaly_reason.{LANDED}"), FLAGGED: F.col("is_suspicious")}
+    ).withColumn("anomaly_reason", F.col("anomaly_reason.anomaly_reason"))
+
+
+def _in_part(part: str) -> Column:
+    steps = [F.regexp_extract(LANDED, rf"(?:^|/){name}=(\d+)", 1).cast("int") == int(value) for name, value in filter_steps(part)]
+    out = F.lit(True)
+    for step in steps:
+        out = out & step
+    return out
+
+
+def _with_other_parts(rows: DataFrame, table: str, part: str) -> DataFrame:
+    spark = rows.sparkSession
+    if not tables.exists(spark, table):
+        return rows
+    old = spark.table(table)
+    if LANDED not in old.columns or not old.where(F.col(LANDED).isNull()).isEmpty():
+        raise ValueError(f"{table} has rows of unknown landing time; refresh it from the whole tree first")
+    return rows.unionByName(old.where(~_in_part(part)).select(*rows.columns))
+
+
+def _over(counts: DataFrame, burst: BurstRule) -> DataFrame:
+    return counts.where(F.col(BURST_COLUMN) > burst.threshold)
+
+
+def _flagged(rows: DataFrame, bursts: DataFrame | None) -> DataFrame:
+    suspicious = rules.is_true(F.col(FLAGGED))
+    if bursts is not None:
+        columns = rows.columns
+        rows = attach_counts(rows, bursts, BURST_KEYS, "created_at", BURST_COLUMN)
+        return rows.withColumn("is_suspicious", F.col(BURST_COLUMN).isNotNull() | suspicious).select(*columns)
+    return rows.withColumn("is_suspicious", suspicious)

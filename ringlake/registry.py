@@ -13,7 +13,7 @@ from ringlake.operators import profile, quality
 from ringlake.operators.filters import valid_subscriptions
 from ringlake.operators.trailing import attach_counts, trailing_counts
 from ringlake.plans import customers, daily, silver, subscriptions
-from ringlake.plans.refresh import refresh
+from ringlake.plans.refresh import Names, Refreshed, refresh
 from ringlake.schemas import BRONZE_COLUMNS, LANDING_PARTITIONS, REQUIRED_COLUMNS
 from ringlake.sources import bronze as tree
 from ringlake.sources import order_feed, tables
@@ -121,22 +121,76 @@ def silver_append(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def silver_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
-    target = new_folder(spark, "stream")
-    query = ingest.ingest(spark, _landed(spark, folder), target, new_folder(spark, "stream-state"), CLOCK)
-    query.awaitTermination()
-    return comparable(ingest.ingested(spark, target))
+    """Two landings, each taken by a run of its own, read as a table."""
+    base, target, state = (new_folder(spark, label) for label in ("bronze", "stream", "stream-state"))
+    rows = _bronze(spark, folder)
+    for landing in (rows.where("auto_renewal"), rows.where("NOT auto_renewal")):
+        tree.land(landing, base, _created_at())
+        ingest.ingest(spark, base, target, state, CLOCK).awaitTermination()
+    return comparable(ingest.create_table(spark, target.rsplit("/", 1)[1].replace("-", "_"), target))
+
+
+def _refreshed(spark: SparkSession, rows: DataFrame, *parts: str, **options) -> Refreshed:
+    """A refresh into databases of its own, so that the caller's tables are not touched."""
+    warehouse = new_folder(spark, "warehouse")
+    unique = warehouse.rsplit("-", 1)[1]
+    names = Names.within(f"silver_{unique}", f"gold_{unique}")
+    if not parts:
+        done = refresh(rows, warehouse, CLOCK, names=names, **options)
+    for part in parts:
+        done = refresh(rows.where(tree.partition_predicate(part)), warehouse, CLOCK, names=names, part=part, **options)
+    for database in {name.rsplit(".", 1)[0] for name in done.tables}:
+        spark.sql(f"DROP DATABASE {database} CASCADE")  # the files stay until the session ends
+    done.tables = {name.replace(f"_{unique}", ""): table for name, table in done.tables.items()}
+    return done
+
+
+def _tables(spark: SparkSession, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(list(counts.items()), "stage string, rows long")
 
 
 def refreshed_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of every table that a whole refresh wrote."""
-    done = refresh(_bronze(spark, folder), new_folder(spark, "warehouse"), CLOCK)
     counted = [
         table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-        for name, table in done.tables.items()
+        for name, table in _refreshed(spark, _bronze(spark, folder)).tables.items()
     ]
     return reduce(DataFrame.unionByName, counted)
 
 
+def refreshed_dim(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_refreshed(spark, _bronze(spark, folder)).tables["silver.dim_subscriptions"])
+
+
+def refreshed_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_refreshed(spark, _bronze(spark, folder)).tables["gold.customer_behavior"])
+
+
+def refreshed_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_refreshed(spark, _bronze(spark, folder)).tables["gold.daily_summary"])
+
+
+def refreshed_row_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The counts that a refresh observed while it wrote silver."""
+    return _tables(spark, _refreshed(spark, _bronze(spark, folder)).rows)
+
+
+def refresh_of_nothing(spark: SparkSession, folder: str) -> DataFrame:
+    """How many tables a refresh of an empty bronze writes."""
+    done = _refreshed(spark, _bronze(spark, folder).where(F.lit(False)))
+    return _tables(spark, {"tables": len(done.tables)})
+
+
+def refresh_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """Silver with bursts after three runs over two parts of the tree, one of them repeated."""
+    base, rows = new_folder(spark, "bronze"), _bronze(spark, folder)
+    earlier = F.col("auto_renewal")  # as if these had landed a year before
+    tree.land(rows.where(earlier), base, _created_at() - F.expr("interval 1 year"))
+    tree.land(rows.where(~earlier), base, _created_at())
+    done = _refreshed(spark, tree.scan(spark, base), "year=2024", "year=2023", "year=2024", burst=BURST)
+    return comparable(done.tables["silver.subscriptions"])
+
+
 def stage_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     return profile.stage_counts(_bronze(spark, folder))
 
@@ -227,6 +281,14 @@ def daily_top_zone(spark: SparkSession, folder: str) -> DataFrame:
     return daily.daily_kpis(_fact(spark, folder)).select("registration_date", "top_zone")
 
 
+def daily_top_zone_nulls(spark: SparkSession, folder: str) -> DataFrame:
+    """Top zones where every third order has no zone."""
+    no_zone = F.substring("subscription_id", 3, 20).cast("long") % 3 == 0
+    rows = _bronze(spark, folder).withColumn("zone", F.when(~no_zone, F.col("zone")))
+    fact = subscriptions.fact_daily(subscriptions.subscription_details(silver.to_silver(rows, CLOCK)))
+    return daily.daily_kpis(fact).select("registration_date", "top_package", "top_zone")
+
+
 def daily_top_package_total(spark: SparkSession, folder: str) -> DataFrame:
     return daily.daily_top_by_sum(_fact(spark, folder))
 
@@ -304,11 +366,12 @@ QUERIES: dict[str, Query] = {
         for query in (
             bronze_scan, bronze_scan_pruned, bronze_merge_schema, bronze_land_roundtrip,
             silver_table_roundtrip, silver_append, silver_stream_ingest, refreshed_tables, stage_row_counts,
+            refreshed_dim, refreshed_customers, refreshed_summary, refreshed_row_counts, refresh_of_nothing, refresh_incremental,
             usage_metrics, price_segment, silver_subscriptions, silver_subscriptions_burst,
             registration_burst, burst_suspicious, event_burst,
             dim_subscriptions, customer_subscription_rank, fact_daily,
             customer_lifetime, customer_latest_package, customer_behavior,
-            daily_kpis, daily_top_package, daily_top_zone, daily_top_package_total,
+            daily_kpis, daily_top_package, daily_top_zone, daily_top_zone_nulls, daily_top_package_total,
             rolling_anomaly, rolling_anomaly_daily, daily_summary, daily_summary_per_day,
             package_top5, batch_profile,
             dq_nulls, dq_row_count, dq_duplicates, dq_ranges, dq_domains, dq_freshness, dq_report,

@@ -45,7 +45,7 @@ def scan(
     and cast to the contract: such a column is NULL there.  Name the parts that have such
     files by ``date_filter``: within one part, a column is either typed or not.
     """
-    rest, folder = dict(_steps(date_filter)), base.rstrip("/")
+    rest, folder = dict(filter_steps(date_filter)), base.rstrip("/")
     for name in LANDING_PARTITIONS:
         if name not in rest:
             break
@@ -70,7 +70,7 @@ def _exists(spark: SparkSession, folder: str) -> bool:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
-def _steps(date_filter: str | None) -> list[tuple[str, str]]:
+def filter_steps(date_filter: str | None) -> list[tuple[str, str]]:
     steps = [tuple(step.split("=", 1)) for step in (date_filter or "").strip("/").split("/") if step]
     unknown = [step[0] for step in steps if len(step) != 2 or step[0] not in LANDING_PARTITIONS]
     if unknown:
@@ -79,4 +79,4 @@ def _steps(date_filter: str | None) -> list[tuple[str, str]]:
 
 
 def partition_predicate(date_filter: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(name) == int(value) for name, value in _steps(date_filter)])
+    return reduce(lambda a, b: a & b, [F.col(name) == int(value) for name, value in filter_steps(date_filter)])

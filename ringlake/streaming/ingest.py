@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ringlake.functions.clock import Clock
 from ringlake.plans.silver import to_silver
 from ringlake.schemas import BRONZE_SCHEMA, SILVER_COLUMNS, SILVER_PARTITIONS
+from ringlake.sources.tables import with_partitions
 
+# Keeps the first run over a large tree from becoming one batch.
+BATCH_BYTES = "64g"
 
-def bronze_stream(spark: SparkSession, base: str, **limits: str) -> DataFrame:
-    """Files that appear below ``base``.
 
-    ``limits`` are reader options such as ``maxFilesPerTrigger`` or
-    ``maxBytesPerTrigger``, which keep a backfill from becoming one huge batch.
+def bronze_stream(spark: SparkSession, base: str, part: str = "", **limits: str) -> DataFrame:
+    """Files that appear below ``base``, or below its dated ``part``, which shortens the listing.
+
+    ``limits`` are reader options such as ``maxFilesPerTrigger`` or ``maxBytesPerTrigger``.
     """
-    return spark.readStream.schema(BRONZE_SCHEMA).option("basePath", base).options(**limits).parquet(base)
+    limits = limits or {"maxBytesPerTrigger": BATCH_BYTES}
+    reader = spark.readStream.schema(BRONZE_SCHEMA).option("basePath", base).options(**limits)
+    return reader.parquet(f"{base.rstrip('/')}/{part.strip('/')}".rstrip("/"))
 
 
 def ingest(
@@ -26,26 +31,36 @@ def ingest(
     checkpoint: str,
     clock: Clock = Clock(),
     every: str | None = None,
+    part: str = "",
     **limits: str,
 ) -> StreamingQuery:
-    """Start the ingestion into Parquet below ``target``.
+    """Start the ingestion into the silver table below ``target``.
 
     By default it takes all files present and stops; ``every`` (for example
-    "30 seconds") keeps it running.  The transformation is row-wise: no state, no
-    shuffle.  The file sink's log and the checkpoint give each file exactly once.
+    "30 seconds") keeps it running.  A batch is rebalanced, so each table partition gets few
+    files, and overwrites its own folder ``batch=``: one that is repeated after a
+    failure is there once.
     """
-    silver = to_silver(bronze_stream(spark, base, **limits), clock)
-    writer = (
-        silver.withColumn("activation_year", F.year("activation_date"))
-        .writeStream.format("parquet")
-        .partitionBy(*SILVER_PARTITIONS)
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-    )
+
+    def store(silver: DataFrame, batch: int) -> None:
+        with_partitions(silver).write.mode("overwrite").partitionBy(*SILVER_PARTITIONS).parquet(f"{target}/batch={batch}")
+
+    silver = to_silver(bronze_stream(spark, base, part, **limits), clock)
+    writer = silver.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def create_table(spark: SparkSession, table: str, target: str) -> DataFrame:
+    """Register what is ingested as a table, with the partitions present now."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    ingested = spark.read.parquet(target)
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ingested.schema)
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (batch, {', '.join(SILVER_PARTITIONS)}) LOCATION '{target}'")
+    spark.sql(f"MSCK REPAIR TABLE {table}")
+    return spark.table(table).select(*SILVER_COLUMNS)
+
+
 def ingested(spark: SparkSession, target: str) -> DataFrame:
     """The rows written so far, in the silver contract."""
     return spark.read.parquet(target).select(*SILVER_COLUMNS)

@@ -7,7 +7,8 @@ from ringlake.__main__ import main as job
 from helpers import CLOCK, bronze_rows, same_rows
 from ringlake.plans.customers import customer_behavior
 from ringlake.plans.daily import daily_summary
-from ringlake.plans.refresh import refresh
+from ringlake.plans.refresh import Names, refresh
+from ringlake.registry import QUERIES
 from ringlake.plans.silver import BurstRule, to_silver
 from ringlake.plans.subscriptions import dim_subscriptions, fact_daily
 from ringlake.sources import bronze, jdbc, order_feed
@@ -82,6 +83,42 @@ def test_job_over_a_landed_tree(spark, feed, tmp_path, capsys):
     assert segments.agg(F.sum("n")).first()[0] == spark.table("silver.dim_subscriptions").select("customer_id").distinct().count()
     job(["--bronze", base, "--warehouse", lake, "--date-filter", "year=1999"])
     assert "nothing written" in capsys.readouterr().out
+    before = spark.table("silver.subscriptions").count()
+    today = spark.range(1).select(F.concat(F.lit("year="), F.year(F.current_date()))).first()[0]
+    job(["--bronze", base, "--warehouse", lake, "--date-filter", today, "--burst", "--burst-threshold", "1"])
+    assert spark.table("silver.subscriptions").count() == before
+
+
+def test_parts_in_any_order_equal_the_whole(spark, feed, tmp_path):
+    base = str(tmp_path / "raw")
+    bronze.land(feed.where("auto_renewal"), base, F.to_timestamp("created_at"))
+    bronze.land(feed.where("NOT auto_renewal"), base, F.to_timestamp("created_at") + F.expr("interval 1 month"))
+    whole = refresh(bronze.scan(spark, base), str(tmp_path / "a"), CLOCK, BurstRule(1), Names.within("sa", "ga"))
+    for part in ("year=2024/month=02", "year=2024/month=01", "year=2024/month=02"):
+        rows = bronze.scan(spark, base, part)
+        parts = refresh(rows, str(tmp_path / "b"), CLOCK, BurstRule(1), Names.within("sb", "gb"), part=part)
+    for left, right in zip(whole.tables.values(), parts.tables.values(), strict=True):
+        assert same_rows(left, right)
+    with pytest.raises(ValueError, match="whole tree"):
+        refresh(feed, str(tmp_path / "c"), CLOCK, names=Names.within("sc", "gc"))
+        refresh(feed, str(tmp_path / "c"), CLOCK, names=Names.within("sc", "gc"), part="year=2024")
+
+
+def test_a_failing_run_changes_nothing(spark, feed, tmp_path, monkeypatch):
+    names = Names.within("sf", "gf")
+    refresh(feed, str(tmp_path), CLOCK, names=names)
+    before = {t: spark.table(t).count() for t in vars(names).values()}
+    monkeypatch.setattr("ringlake.plans.refresh.daily_summary", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        refresh(feed.limit(10), str(tmp_path), CLOCK, names=names)
+    assert {t: spark.table(t).count() for t in vars(names).values()} == before
+
+
+def test_queries_leave_the_callers_tables(spark, feed, tmp_path):
+    refresh(feed.limit(20), str(tmp_path), CLOCK)
+    before = spark.table("silver.subscriptions").count()
+    assert QUERIES["refreshed_dim"](spark, FOLDER).count() > before
+    assert spark.table("silver.subscriptions").count() == before
 
 
 def test_refresh_stops_on_empty_input(spark, feed, tmp_path):
