@@ -139,6 +139,9 @@ def _refreshed(spark: SparkSession, rows: DataFrame, *parts: str, **options) ->
         done = refresh(rows, warehouse, CLOCK, names=names, **options)
     for part in parts:
         done = refresh(rows.where(tree.partition_predicate(part)), warehouse, CLOCK, names=names, part=part, **options)
+    # Partitions of a table are looked up when it is read, so silver is read before its database goes.
+    if done.tables:
+        done.tables[names.silver] = written(done.tables[names.silver], "refreshed-silver")
     for database in {name.rsplit(".", 1)[0] for name in done.tables}:
         spark.sql(f"DROP DATABASE {database} CASCADE")  # the files stay until the session ends
     done.tables = {name.replace(f"_{unique}", ""): table for name, table in done.tables.items()}

@@ -11,7 +11,7 @@ from ringlake.schemas import BRONZE_SCHEMA, SILVER_COLUMNS, SILVER_PARTITIONS
 from ringlake.sources.tables import with_partitions
 
 # Keeps the first run over a large tree from becoming one batch.
-BATCH_BYTES = "64g"
+BATCH_BYTES = str(64 << 30)
 
 
 def bronze_stream(spark: SparkSession, base: str, part: str = "", **limits: str) -> DataFrame:
