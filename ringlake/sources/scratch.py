@@ -56,12 +56,12 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The same rows, read back from a written table.
 
     Cuts the lineage, so a lost executor re-reads files instead of recomputing, and
     gives the planner real sizes for later join choices.
     """
     path = new_folder(df.sparkSession, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
