@@ -394,7 +394,7 @@ def remove_repeats(
     repeated = triggers.repartition("trigger").mapInArrow(_repeated_triggers, "block long, trigger long")
     # The texts are shuffled once: both sides of this plan read the same exchange.
     parsed = written(
-        rows.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_parse_block, PARSED), "parsed"
+        rows.groupBy("block").cogroup(repeated.groupBy("block")).applyInArrow(_parse_block, PARSED), "parsed", "zstd"
     )
 
     key = ["doc", "tie"]
@@ -417,8 +417,12 @@ def remove_repeats(
             ]
         )
     )
-    shared = written(texts.select(*key, "text").join(shared, key), "shared")
-    some = lambda name: shared.where(F.size(name) > 0).select(*key, "text", F.col(name).alias("phrases"))
+    shared = written(shared, "shared", "zstd")
+    # One exchange of the texts serves all that follows.
+    bodies = texts.where("text IS NOT NULL").select(*key, "text")
+    some = lambda name: bodies.join(
+        shared.where(F.size(name) > 0).select(*key, F.col(name).alias("phrases")), key
+    ).select(*key, "text", "phrases")
     near = (
         some("few")
         .mapInArrow(_phrase_bytes, "trigger long, doc long, tie long, low int, high int, bytes binary")
