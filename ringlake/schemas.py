@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# The column contracts below have to match for right results.
 # --- bronze: what the landed Parquet files hold --------------------------------
 _STR, _LONG, _DBL, _BOOL, _INT = (
     T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType(), T.IntegerType(),

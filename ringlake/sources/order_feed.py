@@ -10,7 +10,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ringlake.functions.clock import Clock
-from ringlake.schemas import BRONZE_COLUMNS
+from ringlake.schemas import BRONZE_COLUMNS, ZONES
 
 AS_OF = Clock(date(2024, 1, 31), datetime(2024, 1, 31, 12))
 
@@ -32,7 +32,7 @@ SPEEDS = [30, 50, 70, 100, 120, 150, 200]
 DURATIONS = [30, 60, 90, 180, 365]
 DEVICES = ["smartphone", "tablet", "modem", "router"]
 PAYMENTS = ["credit_card", "bank_transfer", "momo", "cash", "scratch_card"]
-ZONE_CYCLE = ["north", "central", "south"]
+ZONE_CYCLE = ZONES  # in this order
 REASONS = ["high_frequency", "unusual_package", "suspicious_device"]
 
 
