@@ -34,7 +34,7 @@ SAMPLES = 256  # of which BANDS * ROWS are banded
 SKETCH_BITS = 512
 NEAR = 0.64  # sketch estimates from here on are checked: 4.5 standard deviations below 0.8
 BLOCK = 2048  # nodes of a bucket that one task compares with each other
-FIRST_ROUND = 4
+FIRST_ROUND = 32
 NO_ID = -(1 << 63)
 
 
@@ -226,7 +226,7 @@ def near_duplicates(
                 components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(alike)), "components"
             )
             break
-        most *= 4
+        most *= 32
     named = found.select(F.col("node").alias("doc"), "component")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))
     shown = lambda c: F.when(c != NO_ID, c)
