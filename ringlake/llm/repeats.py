@@ -335,28 +335,34 @@ def _single_strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield from out.to_batches(max_chunksize=100_000)
 
 
-def _cut_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents without the bytes of their runs."""
-    for batch in batches:
-        texts, runs = batch.column("text").to_pylist(), batch.column("runs").to_pylist()
-        removed, spans, digests, kept = [], [], [], []
-        for text, some in zip(texts, runs, strict=True):
-            pairs = np.array([(r["start"], r["end"]) for r in some or []], dtype=np.int64).reshape(-1, 2)
-            starts, ends = merged_runs(pairs[:, 0], pairs[:, 1])
-            edges = [0, *np.stack([starts, ends], axis=1).ravel().tolist(), len(text)]
-            rest = b"".join([text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)])
-            removed.append(int((ends - starts).sum()))
-            spans.append(len(starts))
-            digests.append(hashlib.sha256(rest).hexdigest())
-            kept.append(rest)
-        yield pa.RecordBatch.from_arrays(
-            [
-                *[batch.column(c) for c in ("doc", "tie", "times", "n_bytes")],
-                pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string()),
-                pa.array(kept, pa.binary()),
-            ],
-            ["doc", "tie", "times", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
+def _cutter(characters: bool):
+    """Documents without the bytes of their runs; with ``characters``, ``kept`` is without those left in part."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, runs = batch.column("text").to_pylist(), batch.column("runs").to_pylist()
+            removed, spans, digests, kept = [], [], [], []
+            for text, some in zip(texts, runs, strict=True):
+                pairs = np.array([(r["start"], r["end"]) for r in some or []], dtype=np.int64).reshape(-1, 2)
+                starts, ends = merged_runs(pairs[:, 0], pairs[:, 1])
+                edges = [0, *np.stack([starts, ends], axis=1).ravel().tolist(), len(text)]
+                pieces = [text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]
+                rest = b"".join(pieces)
+                removed.append(int((ends - starts).sum()))
+                spans.append(len(starts))
+                digests.append(hashlib.sha256(rest).hexdigest())
+                # Piece by piece: parts of two characters must not join to a third.
+                kept.append(b"".join([p.decode(errors="ignore").encode() for p in pieces]) if characters else rest)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c) for c in ("doc", "tie", "times", "n_bytes")],
+                    pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(digests, pa.string()),
+                    pa.array(kept, pa.binary()),
+                ],
+                ["doc", "tie", "times", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
+            )
+
+    return cut
 
 
 # --- the operator ---------------------------------------------------------------------
@@ -375,11 +381,12 @@ def keyed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES,
-    bucket_phrases: int = BUCKET_PHRASES,
+    bucket_phrases: int = BUCKET_PHRASES, characters: bool = False,
 ) -> DataFrame:
     """(doc_id, tie, times, n_bytes, n_removed, n_spans, kept_sha256, kept), a row for each distinct id and text.
 
-    ``kept`` is the remaining text in bytes, null where nothing was removed.  ``times``
+    ``kept`` is the remaining text in bytes, null where nothing was removed; ``characters``
+    leaves out those that are left in part, all other columns stay as they are.  ``times``
     says how many rows of ``docs`` have this id and text: such rows are one document.
     Rows that share an id only are ordered by a hash of the text, ``tie``.  Null texts
     are empty, a null id comes before all others.  Texts below ``SPAN`` bytes stay
@@ -448,7 +455,7 @@ def remove_repeats(
     )
     texts = texts.select(*key, "times", "n_bytes", "sha256", "text")
     cut = texts.where("text IS NOT NULL").join(runs, key, "left").mapInArrow(
-        _cut_texts,
+        _cutter(characters),
         "doc long, tie long, times long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
     )
     whole = texts.where("text IS NULL").select(
@@ -467,7 +474,7 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
 
     A character that is left in part goes as well.  All rows stay; one with nothing left is empty.
     """
-    cut = remove_repeats(docs, doc_id, text).where("n_removed > 0").select(
+    cut = remove_repeats(docs, doc_id, text, characters=True).where("n_removed > 0").select(
         F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("__doc"), F.col("tie").alias("__tie"), F.col("kept").alias("__kept")
     )
     whole = docs.withColumns(
@@ -476,5 +483,5 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
             "__tie": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
         }
     )
-    left = F.when(F.col("__kept").isNotNull(), F.try_validate_utf8(F.col("__kept").cast("string"))).otherwise(F.col(text))
+    left = F.when(F.col("__kept").isNotNull(), F.col("__kept").cast("string")).otherwise(F.col(text))
     return whole.join(cut, ["__doc", "__tie"], "left").select(*[left.alias(c) if c == text else F.col(c) for c in docs.columns])

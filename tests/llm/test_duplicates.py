@@ -61,6 +61,27 @@ def test_texts_without_repeats(spark, docs, no_docs):
     assert text[1] == first and text[2] == "" and len(text[3]) < 110
 
 
+def test_characters_cut_in_part(spark):
+    shared, head = sentence(7, 30), sentence(8, 30)
+    rows = [(1, shared + "é one", "fr"), (2, shared + "è two", "fr"), (3, "Ю" + head, "ru"), (4, "о " + "ή" + head, "ru"), (5, "漢" + shared + "漣 tail 🙂" + head, "zh")]
+    seen, wanted = set(), {}
+    for doc, text, _ in rows:
+        raw, gone = text.encode(), set()
+        for i in range(len(raw) - 99):
+            if raw[i : i + 100] in seen:
+                gone.update(range(i, i + 100))
+            seen.add(raw[i : i + 100])
+        at, kept = 0, ""
+        for c in text:
+            n = len(c.encode())
+            kept += "" if gone.intersection(range(at, at + n)) else c
+            at += n
+        wanted[doc] = kept
+    docs = documents(spark, [(i, t, k, "s") for i, t, k in rows])
+    assert {r.doc_id: r.text for r in repeats.without_repeats(docs).collect()} == wanted
+    assert wanted[2] == " two" and wanted[5].startswith("漢")
+
+
 def test_every_string_has_one_trigger():
     texts = [(t or "").encode() for _, t in messy_rows()]
     parsed, offsets = repeats.Parsed(texts), {}
