@@ -17,14 +17,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 80 % of its runs of five words; of rows with one id, the least."""
-    kept = minhash.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    whole = F.struct(*[F.col(f"d.{c}") for c in docs.columns])
+    """One document of each group that shares 80 % of its runs of five words; of rows with one id and text, the least."""
+    key = minhash.document_key()
+    kept = minhash.grouped(docs).where("kept").select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie")).distinct()
     return (
-        docs.alias("d")
-        .join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-        .groupBy("d.doc_id")
-        .agg(F.min(whole).alias("row"))
+        docs.withColumns({f"__{k}": c for k, c in key.items()})
+        .join(kept, ["__doc", "__tie"], "left_semi")
+        .groupBy("__doc", "__tie")
+        .agg(F.min(F.struct(*docs.columns)).alias("row"))
         .select("row.*")
     )
 

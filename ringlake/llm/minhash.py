@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ringlake.llm.components import components
 from ringlake.llm.repeats import _P, _P_INVERSE, RollingHash, _mixed
@@ -96,7 +96,7 @@ def estimate(differing: np.ndarray) -> np.ndarray:
 
 
 # --- tasks ----------------------------------------------------------------------------
-SIGNED = "doc long, n_shingles long, a long, b long, sketch binary, bands array<long>"
+SIGNED = "doc long, tie long, n_shingles long, a long, b long, sketch binary, bands array<long>"
 
 
 def _signer(size: int):
@@ -114,10 +114,10 @@ def _signer(size: int):
                 bands.append(band_keys(least) if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
+                    batch.column("doc"), batch.column("tie"), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()),
                     pa.array(sketches, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
                 ],
-                ["doc", "n_shingles", "a", "b", "sketch", "bands"],
+                ["doc", "tie", "n_shingles", "a", "b", "sketch", "bands"],
             )
 
     return signed
@@ -177,28 +177,47 @@ def near_duplicates(
 
     Documents are linked if ``percent`` % of the union of their shingle sets is shared;
     a component is named by its smallest id.  Null, empty and blank texts have no set
-    and are linked with nothing.  Rows that share an id are one node.  Null ids come
-    before all others.  An empty table gives an empty table.  Extra columns are not read.
+    and are linked with nothing.  A document is its id and text: rows that share both
+    are kept or not together, rows that share an id only are linked by their texts or
+    not at all.  Null ids come before all others, a hash of the text orders documents
+    of one id.  An empty table gives an empty table.  Extra columns are not read.
     """
-    rows = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    )
+    return grouped(docs, doc_id, text, size, percent).drop("doc", "tie")
+
+
+def document_key(doc_id: str = "doc_id", text: str = "text") -> dict[str, Column]:
+    """(doc, tie): what tells documents apart."""
+    return {
+        "doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)),
+        "tie": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
+    }
+
+
+def grouped(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80,
+) -> DataFrame:
+    """``near_duplicates`` with the key (doc, tie) of each document."""
+    key = document_key(doc_id, text)
+    rows = docs.select(*[c.alias(k) for k, c in key.items()], F.coalesce(F.col(text), F.lit("")).alias("text"))
     signed = written(rows.mapInArrow(_signer(size), SIGNED), "signatures")
     sets = signed.where("n_shingles > 0")
+    # Numbers are unique, and fixed once written; a set is shown by its first document.
     nodes = written(
-        sets.groupBy("a", "b").agg(F.min("doc").alias("node"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands")),
+        sets.groupBy("a", "b")
+        .agg(F.min(F.struct("doc", "tie")).alias("first"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+        .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     banded = nodes.select("node", F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
     buckets = written(banded.join(full, "key").select("key", "node", "leader"), "buckets")
-    texts = rows.join(buckets.select(F.col("node").alias("doc")).distinct(), "doc", "left_semi").groupBy("doc").agg(F.min("text").alias("text"))
-    texts = written(texts, "bucket-texts")
+    shown_by = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "first.*")
+    texts = written(rows.join(shown_by, ["doc", "tie"]).groupBy("node").agg(F.min("text").alias("text")), "bucket-texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         """Pairs (x, y) that are linked.  A frequent y only makes its join larger, which adaptive execution splits."""
-        both = pairs.join(texts.select(F.col("doc").alias("x"), F.col("text").alias("x_text")), "x").join(
-            texts.select(F.col("doc").alias("y"), F.col("text").alias("y_text")), "y"
+        both = pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("x_text")), "x").join(
+            texts.select(F.col("node").alias("y"), F.col("text").alias("y_text")), "y"
         )
         return both.select("x", "y", "x_text", "y_text").mapInArrow(_confirmer(size, percent), "x long, y long")
 
@@ -206,13 +225,9 @@ def near_duplicates(
     best = shares.groupBy("node").agg(F.min(F.struct(-F.col("n"), "leader")).alias("best"))
     tested = written(best.select(F.col("node").alias("x"), F.col("best.leader").alias("y")), "pairs")
     links = written(confirmed(tested), "links")
-    # Rows that share an id or a set.
-    alike = sets.join(nodes.select("a", "b", "node"), ["a", "b"]).where("doc <> node").select(F.col("doc").alias("a"), F.col("node").alias("b"))
     most = FIRST_ROUND
     while True:
-        found = written(
-            components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(alike)), "components"
-        )
+        found = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
         pairs = written(_across(buckets, nodes, found, most), "pairs")
         fresh = written(pairs.select("x", "y").distinct().join(tested, ["x", "y"], "left_anti"), "pairs")
         news = written(confirmed(fresh), "links")
@@ -222,19 +237,22 @@ def near_duplicates(
             break
         links = links.unionByName(news)
         if not more:
-            found = written(
-                components(links.select(F.col("x").alias("a"), F.col("y").alias("b")).unionByName(alike)), "components"
-            )
+            found = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
             break
         most *= 32
-    named = found.select(F.col("node").alias("doc"), "component")
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "doc")).otherwise(F.col("doc"))
+    placed = nodes.select("node", "a", "b", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = placed.groupBy("component").agg(F.min("first").alias("least"))
+    named = written(placed.join(least, "component").select("a", "b", "least"), "components")
+    own = F.struct("doc", "tie")
+    least = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(own)
     shown = lambda c: F.when(c != NO_ID, c)
-    return signed.select("doc", "n_shingles").join(named, "doc", "left").select(
+    return signed.select("doc", "tie", "n_shingles", "a", "b").join(named, ["a", "b"], "left").select(
+        "doc",
+        "tie",
         shown(F.col("doc")).alias("doc_id"),
         "n_shingles",
-        shown(component).alias("component_id"),
-        (F.col("doc") == component).alias("kept"),
+        shown(least["doc"]).alias("component_id"),
+        (own == least).alias("kept"),
     )
 
 

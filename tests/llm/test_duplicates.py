@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from data import documents, rows_of, sentence
 
+import corpus_pipeline
 from ringlake.llm import components, embeddings, minhash, repeats
 
 
@@ -139,6 +140,18 @@ def test_near_duplicates_odd_rows(docs, no_docs):
     assert [got[i].component_id for i in (1, 2, 3, 4, 5, 6, 9)] == [1, 1, 1, 4, 5, 6, 9] and got[None].kept
 
 
+def test_texts_that_share_an_id(spark):
+    base, other, third = sentence(60, 80), sentence(61, 80), sentence(62, 80)
+    texts = [(None, base), (None, other), (None, other), (7, third), (7, base + " end"), (8, third + " end"), (8, sentence(63, 80)), (9, other + " end")]
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts])
+    got = rows_of(minhash.near_duplicates(docs), "doc_id", "component_id", "kept")
+    wanted = [(None, None, True)] * 3 + [(7, 7, True), (7, None, False), (8, 7, False), (8, 8, True), (9, None, False)]
+    assert got == sorted(wanted, key=repr)
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert rows_of(left, "doc_id", "text") == sorted([(None, base), (None, other), (7, third), (8, texts[6][1])], key=repr)
+    assert left.columns == docs.columns
+
+
 def test_odd_sketches_estimate():
     rng = np.random.default_rng(1)
     for share in (0.95, 0.85, 0.8):
