@@ -148,3 +148,25 @@ def test_knapsack_against_brute_force():
     which, copies = packing.dearest_pattern(lengths, prices, 11)
     best = max(sum(c * p for c, p in zip(cs, prices)) for cs in itertools.product(range(4), repeat=3) if sum(c * n for c, n in zip(cs, lengths)) <= 11)
     assert abs(float((prices[which] * copies).sum()) - best) < 1e-9
+
+
+def test_program_places_pieces_where_greed_falls_short():
+    # 510 + 260 + 230 and 2 * 270 + 2 * 230 are full; longest first takes 510 + 270 and wastes the rest.
+    lengths, demand = np.array([230, 260, 270, 510]), np.array([2400, 1200, 1200, 1200])
+    chosen, bound = packing.priced_patterns(lengths, demand.astype(float), 1000)
+    assert bound <= 1800 + 1e-6 and sum(c[0] for c in chosen) <= (1 + packing.GAP) * bound
+    patterns = packing.packed_patterns(lengths, demand, 1000)
+    held = dict.fromkeys(lengths.tolist(), 0)
+    for p in patterns:
+        assert (p.lengths * p.copies).sum() <= 1000
+        for length, copies in zip(p.lengths.tolist(), p.copies.tolist()):
+            held[length] += p.bins * copies
+    assert list(held.values()) == demand.tolist()
+    by_program = sum(p.bins * int(p.copies.sum()) for p in patterns if p.by_program)
+    assert by_program >= 0.9 * demand.sum() and sum(p.bins for p in patterns) <= 1.02 * 1800
+    assert sum(p.bins for p in packing.greedy_patterns(lengths, demand, 1000)) == 2200
+
+
+def test_bounded_knapsack():
+    which, copies = packing.dearest_pattern(np.array([3, 4, 5]), np.array([2.0, 3.0, 3.9]), 20, np.array([4, 1, 1]))
+    assert dict(zip(which.tolist(), copies.tolist())) == {0: 3, 1: 1, 2: 1}
