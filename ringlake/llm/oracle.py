@@ -67,4 +67,35 @@ SELECT conv_id, count(*) AS n_turns,
 FROM each GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_chat_parts": OP3, "op8_mix_budgets": OP8}
+OP13 = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS doc, doc_id, unnest(regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM documents
+), counts AS (
+  SELECT doc, doc_id, term, count(*) AS tf FROM words GROUP BY ALL
+), sizes AS (
+  SELECT doc, CAST(sum(tf) AS BIGINT) AS n FROM counts GROUP BY doc
+), totals AS (
+  SELECT count(*) AS all_docs, CAST(sum(n) AS BIGINT) AS all_terms FROM sizes
+), held AS (
+  SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counts, totals GROUP BY term, all_docs
+), asked AS (
+  SELECT item, item_id, term, count(*) AS times
+  FROM (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM benchmark)
+  GROUP BY ALL
+), scored AS (
+  SELECT item, item_id, doc, doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * all_docs) // all_terms)))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN counts USING (term) JOIN sizes USING (doc), totals
+  GROUP BY ALL
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 20
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_chat_parts": OP3, "op8_mix_budgets": OP8, "op13_lemp_buckets": OP13}

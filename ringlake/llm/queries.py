@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ringlake.llm import binary, chat, embeddings, minhash, mixing, packing, quality, repeats, token_counts, urls
+from ringlake.llm import (
+    binary, chat, embeddings, langid, lexical, merkle, minhash, mixing, packing, quality, repeats, token_counts, urls,
+)
 from ringlake.llm.text import table
 from ringlake.sources.scratch import new_folder
 
@@ -94,7 +96,22 @@ def op10_minhash_odd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(docs, size=4, percent=80)
 
 
+def op11_subtree_exchange(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified"]
+    return merkle.audited(table(spark, sf_dir, "documents")).select(*columns)
+
+
+def op12_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.withColumns({"score": F.round("score", 9), "entropy": F.round("entropy", 6)})
+
+
+def op13_lemp_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return lexical.ranked(docs.select("doc_id", "text"), items)
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op1_robust_graph, op2_repeat_parse, op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns, op10_minhash_odd)
+    for query in (op1_robust_graph, op2_repeat_parse, op3_chat_parts, op4_url_ratio, op5_count_transducer, op6_quality_divergence, op7_rans_files, op8_mix_budgets, op9_pack_patterns, op10_minhash_odd, op11_subtree_exchange, op12_kneser_ney, op13_lemp_buckets)
 }

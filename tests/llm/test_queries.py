@@ -12,7 +12,7 @@ from ringlake.llm.queries import QUERIES
 from ringlake.sources.scratch import written
 
 FOLDER = "/root/testdata/sf0.001"
-TABLES = ["documents", "embeddings", "pages", "conversations"]
+TABLES = ["documents", "embeddings", "pages", "conversations", "benchmark"]
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
@@ -30,7 +30,7 @@ def test_same_rows_as_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_stages_take_effect(spark):
