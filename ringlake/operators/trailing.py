@@ -23,13 +23,15 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 _CARRY, _ARRIVE, _LEAVE = -1, 0, 1
 
 
-def trailing_counts(rows: DataFrame, keys: list[str], at: str, seconds: int, name: str) -> DataFrame:
+def trailing_counts(
+    rows: DataFrame, keys: list[str], at: str, seconds: int, name: str, weight: str | None = None,
+) -> DataFrame:
     """One row per (keys, instant): rows of those keys in ``[instant - seconds, instant]``.
 
-    NULL keys form a group.  Rows without an instant are peers of each other only:
+    With ``weight`` a row stands for that many.  NULL keys form a group.  Rows without an instant are peers of each other only:
     their slice is NULL, which sorts first, starts from nothing and adds up to nothing.
     """
-    arrivals = rows.groupBy(*keys, at).agg(F.count(F.lit(1)).alias("arrivals"))
+    arrivals = rows.groupBy(*keys, at).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("arrivals"))
     span = F.expr(f"interval {int(seconds)} seconds")
     moves = arrivals.select(
         *keys,

@@ -13,6 +13,7 @@ from ringlake.sources.order_feed import (
 
 TODAY = "DATE '2024-01-31'"
 NOW = "TIMESTAMP '2024-01-31 12:00:00'"
+EARLIER = "TIMESTAMP '2024-01-10 09:00:00'"
 LATER = "TIMESTAMP '2024-01-31 15:30:00'"
 
 
@@ -197,12 +198,17 @@ STEPS = {
         FROM checks""",
 }
 
+# The same models over silver with burst flags.
+for _name, _over, _of in (("dim", "silver_burst", "silver"), ("fact_exact", "dim_burst", "dim"), ("kpis", "fact_exact_burst", "fact_exact")):
+    STEPS[f"{_name}_burst"] = STEPS[_name].replace(f"FROM {_of} ", f"FROM {_over} ")
+
 _DETAIL_COLUMNS = ", ".join(SILVER_COLUMNS)
 _LANDED = f"""
     SELECT {', '.join(BRONZE_COLUMNS)}, minute(landed) AS "minute", CAST(year(landed) AS INTEGER) AS "year",
            CAST(month(landed) AS INTEGER) AS "month", CAST(day(landed) AS INTEGER) AS "day",
            CAST(hour(landed) AS INTEGER) AS "hour"
     FROM (SELECT *, CAST(created_at AS TIMESTAMP) AS landed FROM bronze)"""
+_LANDED_DAILY = _LANDED.replace("CAST(created_at AS TIMESTAMP) AS landed", "date_trunc('day', CAST(created_at AS TIMESTAMP)) AS landed")
 _LIFETIME = """first_subscription_date, last_subscription_date, total_subscriptions, total_cancellations,
     round(avg_spending, 6) AS avg_spending, current_package, is_auto_renewal, customer_lifetime_days"""
 
@@ -317,8 +323,22 @@ FINAL |= {
     "refreshed_customers": FINAL["customer_behavior"],
     "refreshed_summary": FINAL["daily_summary"],
     "refreshed_row_counts": FINAL["stage_row_counts"],
-    "refresh_of_nothing": "SELECT 'tables' AS stage, count(*) AS \"rows\" FROM bronze WHERE FALSE",
-    "refresh_incremental": FINAL["silver_subscriptions_burst"],
+    "refresh_of_nothing": "SELECT 'tables' AS stage, count(*) AS \"rows\" FROM bronze WHERE price_monthly_vnd < 0",
+    "refresh_incremental": f"""
+        SELECT * REPLACE (CASE WHEN auto_renewal THEN {EARLIER} ELSE {NOW} END AS last_updated) FROM silver_burst""",
+    "refresh_two_clocks": "SELECT * EXCLUDE (last_updated) FROM dim_burst",
+    "refresh_parts_fact": "SELECT * REPLACE (round(avg_price, 6) AS avg_price) FROM fact_exact_burst",
+    "refresh_parts_customers": FINAL["customer_behavior"],
+    "refresh_parts_summary": _summary("cell_labels").replace("FROM kpis k", "FROM kpis_burst k"),
+    "refresh_parts_bursts": "SELECT DISTINCT package_name, zone, created_at FROM counted WHERE registration_count > 3",
+    "refresh_rewritten": """
+        SELECT package_type, zone, CAST(year(activation_date) AS INTEGER) AS activation_year,
+               '2024-01-15' AS landed_day, count(*) AS "rows"
+        FROM typed WHERE NOT auto_renewal AND date_trunc('week', created_at) = DATE '2024-01-15'
+        GROUP BY ALL""",
+    "bronze_mixed_types": _LANDED_DAILY,
+    "bronze_compacted": f"""
+        SELECT "year", "month", "day", "hour", count(*) AS "rows", CAST(1 AS BIGINT) AS files FROM ({_LANDED_DAILY}) GROUP BY ALL""",
     "daily_top_zone_nulls": """
         SELECT registration_date, package_name AS top_package, zone AS top_zone FROM (
           SELECT *, row_number() OVER (PARTITION BY registration_date ORDER BY total_registrations DESC,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -55,8 +56,9 @@ def to_silver(
     clock: Clock = Clock(),
     burst: BurstRule | None = None,
     bursts: DataFrame | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """The 25 silver columns.  Without ``burst`` every step is row-wise, hence streamable.
+    """The 25 silver columns, and those to ``keep``.  Without ``burst`` every step is row-wise, hence streamable.
 
     Only instants above the threshold are joined to the rows.  ``bursts`` takes them
     from a table written earlier: when its files are small they are broadcast, and
@@ -76,4 +78,4 @@ def to_silver(
             "customer_segment": rules.price_segment(F.col("price_monthly_vnd")),
             "is_suspicious": suspicious,
         }
-    ).select(*SILVER_COLUMNS)
+    ).select(*SILVER_COLUMNS, *keep)

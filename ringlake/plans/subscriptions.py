@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ringlake.functions import rules
 from ringlake.operators.filters import dated
-from ringlake.operators.ranking import row_numbers
+from ringlake.operators.ranking import ranked_rows
 from ringlake.schemas import FACT_KEYS, SILVER_COLUMNS
 
 def newest_first():
@@ -33,7 +33,8 @@ def subscription_details(silver: DataFrame) -> DataFrame:
 
 
 def dim_subscriptions(silver: DataFrame, **ranking: int) -> DataFrame:
-    return row_numbers(
+    """``ranking`` is passed to ``ranked_rows``: from which size on a customer is split, and into how many runs."""
+    return ranked_rows(
         subscription_details(silver), "customer_id", newest_first(), "customer_subscription_rank", **ranking
     )
 

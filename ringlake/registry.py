@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -16,7 +16,8 @@ from ringlake.plans import customers, daily, silver, subscriptions
 from ringlake.plans.refresh import Names, Refreshed, refresh
 from ringlake.schemas import BRONZE_COLUMNS, LANDING_PARTITIONS, REQUIRED_COLUMNS
 from ringlake.sources import bronze as tree
-from ringlake.sources import order_feed, tables
+from ringlake.sources import compaction, order_feed, tables
+from ringlake.sources.lake import Lake
 from ringlake.sources.scratch import new_folder, written
 from ringlake.streaming import ingest
 
@@ -102,6 +103,29 @@ def bronze_merge_schema(spark: SparkSession, folder: str) -> DataFrame:
     return tree.scan(spark, base, merge_schema=True).select(*LANDED_COLUMNS)
 
 
+def _landing_day():
+    return F.date_trunc("day", _created_at())
+
+
+def bronze_mixed_types(spark: SparkSession, folder: str) -> DataFrame:
+    """Every day has files whose reason is a null-typed integer, and files that hold it as text."""
+    rows, base = _bronze(spark, folder), new_folder(spark, "bronze-mixed")
+    untyped = rows.where(~F.col("is_anomaly")).withColumn("anomaly_reason", F.lit(None).cast("int"))
+    tree.land(untyped, base, _landing_day())
+    tree.land(rows.where("is_anomaly"), base, _landing_day())
+    return tree.scan(spark, base, conform=True).select(*LANDED_COLUMNS)
+
+
+def bronze_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten landings, packed and cleaned up: rows and files of every landed day."""
+    rows, base = written(_bronze(spark, folder), "bronze"), new_folder(spark, "bronze-packed")
+    for batch in range(10):
+        tree.land(rows.where(F.substring("subscription_id", 3, 20).cast("long") % 10 == batch), base, _landing_day())
+    compaction.compact(spark, base)
+    compaction.vacuum(spark, base)
+    return compaction.landed_files(spark, base)
+
+
 def _scratch_table(spark: SparkSession, rows: DataFrame, label: str) -> str:
     path = new_folder(spark, label)
     name = path.rsplit("/", 1)[1].replace("-", "_")
@@ -130,20 +154,20 @@ def silver_stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
     return comparable(ingest.create_table(spark, target.rsplit("/", 1)[1].replace("-", "_"), target))
 
 
-def _refreshed(spark: SparkSession, rows: DataFrame, *parts: str, **options) -> Refreshed:
+def _refreshed(
+    spark: SparkSession, rows: DataFrame, *parts: str, clocks: tuple[Clock, ...] = (), warehouse: str | None = None, **options,
+) -> Refreshed:
     """A refresh into databases of its own, so that the caller's tables are not touched."""
-    warehouse = new_folder(spark, "warehouse")
+    warehouse = warehouse or new_folder(spark, "warehouse")
     unique = warehouse.rsplit("-", 1)[1]
     names = Names.within(f"silver_{unique}", f"gold_{unique}")
     if not parts:
         done = refresh(rows, warehouse, CLOCK, names=names, **options)
-    for part in parts:
-        done = refresh(rows.where(tree.partition_predicate(part)), warehouse, CLOCK, names=names, part=part, **options)
-    # Partitions of a table are looked up when it is read, so silver is read before its database goes.
+    for part, clock in zip(parts, clocks or [CLOCK] * len(parts), strict=True):
+        done = refresh(rows.where(tree.partition_predicate(part)), warehouse, clock, names=names, part=part, **options)
     if done.tables:
-        done.tables[names.silver] = written(done.tables[names.silver], "refreshed-silver")
-    for database in {name.rsplit(".", 1)[0] for name in done.tables}:
-        spark.sql(f"DROP DATABASE {database} CASCADE")  # the files stay until the session ends
+        for database in {name.rsplit(".", 1)[0] for name in done.tables}:
+            spark.sql(f"DROP DATABASE {database} CASCADE")  # the files stay until the session ends
     done.tables = {name.replace(f"_{unique}", ""): table for name, table in done.tables.items()}
     return done
 
@@ -156,42 +180,95 @@ def refreshed_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of every table that a whole refresh wrote."""
     counted = [
         table.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows")
-        for name, table in _refreshed(spark, _bronze(spark, folder)).tables.items()
+        for name, table in _refreshed(spark, written(_bronze(spark, folder), "bronze")).tables.items()
     ]
     return reduce(DataFrame.unionByName, counted)
 
 
 def refreshed_dim(spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(_refreshed(spark, _bronze(spark, folder)).tables["silver.dim_subscriptions"])
+    return comparable(_refreshed(spark, written(_bronze(spark, folder), "bronze")).tables["silver.dim_subscriptions"])
 
 
 def refreshed_customers(spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(_refreshed(spark, _bronze(spark, folder)).tables["gold.customer_behavior"])
+    return comparable(_refreshed(spark, written(_bronze(spark, folder), "bronze")).tables["gold.customer_behavior"])
 
 
 def refreshed_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return comparable(_refreshed(spark, _bronze(spark, folder)).tables["gold.daily_summary"])
+    return comparable(_refreshed(spark, written(_bronze(spark, folder), "bronze")).tables["gold.daily_summary"])
 
 
 def refreshed_row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """The counts that a refresh observed while it wrote silver."""
-    return _tables(spark, _refreshed(spark, _bronze(spark, folder)).rows)
+    """The counts of a refresh: what it read, and what the footers of the committed silver files hold."""
+    return _tables(spark, _refreshed(spark, written(_bronze(spark, folder), "bronze")).rows)
 
 
 def refresh_of_nothing(spark: SparkSession, folder: str) -> DataFrame:
-    """How many tables a refresh of an empty bronze writes."""
-    done = _refreshed(spark, _bronze(spark, folder).where(F.lit(False)))
+    """How many tables a refresh writes of rows that no registration is among: those below a price of nothing."""
+    done = _refreshed(spark, _bronze(spark, folder).where(F.col("price_monthly_vnd") < 0))
     return _tables(spark, {"tables": len(done.tables)})
 
 
+# The tree's parts as they are refreshed, and the clock of each run.
+EARLIER = Clock(date(2024, 1, 10), datetime(2024, 1, 10, 9))
+PART_RUNS = [("year=2023", EARLIER), ("year=2024", CLOCK), ("year=2024/month=01/day=15", CLOCK)]
+_part_runs_done: dict[tuple[str, str], tuple[Refreshed, Lake]] = {}
+
+
+def _part_runs(spark: SparkSession, folder: str) -> tuple[Refreshed, Lake]:
+    """Three runs with bursts over parts of a landed tree, under two clocks; run once a session and folder.
+
+    Rows that renew by themselves land a year before the others, all at the start of
+    their creation's week.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _part_runs_done:
+        base, rows = new_folder(spark, "bronze"), written(_bronze(spark, folder), "bronze")
+        week, earlier = F.date_trunc("week", _created_at()), F.col("auto_renewal")
+        tree.land(rows.where(earlier), base, week - F.expr("interval 1 year"))
+        tree.land(rows.where(~earlier), base, week)
+        parts, clocks = zip(*PART_RUNS, strict=True)
+        warehouse = new_folder(spark, "warehouse")
+        done = _refreshed(spark, tree.scan(spark, base), *parts, clocks=clocks, warehouse=warehouse, burst=BURST)
+        _part_runs_done[key] = done, Lake(spark, warehouse)
+    return _part_runs_done[key]
+
+
+def _lake_name(lake: Lake, ending: str) -> str:
+    return next(name for name in lake.tables if name.endswith(ending))
+
+
 def refresh_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """Silver with bursts after three runs over two parts of the tree, one of them repeated."""
-    base, rows = new_folder(spark, "bronze"), _bronze(spark, folder)
-    earlier = F.col("auto_renewal")  # as if these had landed a year before
-    tree.land(rows.where(earlier), base, _created_at() - F.expr("interval 1 year"))
-    tree.land(rows.where(~earlier), base, _created_at())
-    done = _refreshed(spark, tree.scan(spark, base), "year=2024", "year=2023", "year=2024", burst=BURST)
-    return comparable(done.tables["silver.subscriptions"])
+    """Silver with bursts after three runs over parts of the tree, the last over a part of one before."""
+    return comparable(_part_runs(spark, folder)[0].tables["silver.subscriptions"])
+
+
+def refresh_two_clocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The dimension after the part runs, as of the later clock; only the time of processing tells them apart."""
+    return comparable(_part_runs(spark, folder)[0].tables["silver.dim_subscriptions"].drop("last_updated"))
+
+
+def refresh_parts_fact(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_part_runs(spark, folder)[0].tables["silver.fact_daily_registrations"])
+
+
+def refresh_parts_customers(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_part_runs(spark, folder)[0].tables["gold.customer_behavior"])
+
+
+def refresh_parts_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return comparable(_part_runs(spark, folder)[0].tables["gold.daily_summary"])
+
+
+def refresh_parts_bursts(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored burst instants after the part runs."""
+    lake = _part_runs(spark, folder)[1]
+    return comparable(lake.read(_lake_name(lake, "_bursts")).select(*silver.BURST_KEYS, "created_at"))
+
+
+def refresh_rewritten(spark: SparkSession, folder: str) -> DataFrame:
+    """Partitions of silver that the last part run wrote, with their rows."""
+    lake = _part_runs(spark, folder)[1]
+    return lake.rewritten(_lake_name(lake, ".subscriptions"))
 
 
 def stage_row_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -370,6 +447,8 @@ QUERIES: dict[str, Query] = {
             bronze_scan, bronze_scan_pruned, bronze_merge_schema, bronze_land_roundtrip,
             silver_table_roundtrip, silver_append, silver_stream_ingest, refreshed_tables, stage_row_counts,
             refreshed_dim, refreshed_customers, refreshed_summary, refreshed_row_counts, refresh_of_nothing, refresh_incremental,
+            refresh_two_clocks, refresh_parts_fact, refresh_parts_customers, refresh_parts_summary, refresh_parts_bursts,
+            refresh_rewritten, bronze_mixed_types, bronze_compacted,
             usage_metrics, price_segment, silver_subscriptions, silver_subscriptions_burst,
             registration_burst, burst_suspicious, event_burst,
             dim_subscriptions, customer_subscription_rank, fact_daily,

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+import re
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ringlake.functions.rules import landing_fields
 from ringlake.schemas import BRONZE_SCHEMA, LANDING_PARTITIONS
+from ringlake.sources.lake import Lake
 
 
 def land(batch: DataFrame, base: str, at: Column | None = None) -> None:
@@ -41,30 +47,115 @@ def scan(
     ``merge_schema`` the schema is the union of the files' own schemas.
 
     Some writers store a column without any value as a null-typed integer, which the
-    contract's schema cannot read.  With ``conform`` the files' own schemas are merged
-    and cast to the contract: such a column is NULL there.  Name the parts that have such
-    files by ``date_filter``: within one part, a column is either typed or not.
+    contract's schema cannot read.  With ``conform`` files are grouped by the types in
+    their footers, each group is one scan, cast to the contract, and their rows
+    are put together: such a column is NULL there.
+
+    Files that ``compact`` has packed are read from where it put them.
     """
     rest, folder = dict(filter_steps(date_filter)), base.rstrip("/")
     for name in LANDING_PARTITIONS:
         if name not in rest:
             break
         folder += f"/{name}={rest.pop(name)}"
-    if date_filter and not _exists(spark, folder):
-        return spark.createDataFrame([], BRONZE_SCHEMA)
-    reader = spark.read.option("basePath", base)
-    if merge_schema or conform:
-        tree = reader.option("mergeSchema", "true").parquet(folder)
+    packed = Lake(spark, packed_root(base))
+    if _exists(spark, folder):
+        tree = _tree(spark, base, folder, merge_schema, conform, packed.settings.get("replaced", []))
     else:
-        tree = reader.schema(BRONZE_SCHEMA).parquet(folder)
-    if conform:
-        held = set(tree.columns)
-        tree = tree.select(
-            *[(F.col(f.name) if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMA]
-        )
+        tree = spark.createDataFrame([], BRONZE_SCHEMA)
+    if packed.tables:
+        more = packed.read(PACKED)
+        if date_filter:
+            more = more.where(partition_predicate(date_filter))
+        tree = tree.unionByName(more, allowMissingColumns=True)
     return tree.where(partition_predicate("/".join(f"{k}={v}" for k, v in rest.items()))) if rest else tree
 
 
+PACKED = "bronze"
+
+
+def packed_root(base: str) -> str:
+    """Hidden from whatever lists the tree."""
+    return f"{base.rstrip('/')}/_packed"
+
+
+def relative(path: Column) -> Column:
+    """A landed file's path from its year on."""
+    return F.regexp_extract(path, f"({LANDING_PARTITIONS[0]}=[^?]*)$", 1)
+
+
+def _without(tree: DataFrame, files: list[str]) -> DataFrame:
+    """The rows of all but these files; their number is what a compaction packed and has not deleted yet."""
+    if not files:
+        return tree
+    gone = tree.sparkSession.createDataFrame([(f,) for f in files], "__gone string")
+    return tree.withColumn("__file", relative(F.col("_metadata.file_path"))).join(gone, F.col("__file") == F.col("__gone"), "left_anti").drop("__file")
+
+
+def _tree(spark: SparkSession, base: str, folder: str, merge_schema: bool, conform: bool, gone: list[str]) -> DataFrame:
+    reader = spark.read.option("basePath", base)
+    if not merge_schema and not conform:
+        return _without(reader.schema(BRONZE_SCHEMA).parquet(folder), gone)
+    merging = spark.read.option("basePath", base).option("mergeSchema", "true")
+    if not conform:
+        return _without(merging.parquet(folder), gone)
+    if _merged(spark, base, [folder]) is not None:
+        return _conformed(_without(merging.parquet(folder), gone))
+    files = [unquote(f) for f in reader.schema(BRONZE_SCHEMA).parquet(folder).inputFiles()]
+    groups = type_groups(spark, base, files)
+    return reduce(DataFrame.unionByName, [_conformed(_without(merging.parquet(*g), gone)) for g in groups])
+
+
+def _conformed(rows: DataFrame) -> DataFrame:
+    held = set(rows.columns)
+    return rows.select(
+        *[(F.col(f.name) if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in BRONZE_SCHEMA]
+    )
+
+
+def _merged(spark: SparkSession, base: str, paths: list[str]) -> dict[str, str] | None:
+    """Types by column of these files' footers, which executors read; None where a column has two."""
+    try:
+        schema = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths).schema
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE" not in str(error):
+            raise
+        return None
+    return {f.name: f.dataType.simpleString() for f in schema}
+
+
+def type_groups(spark: SparkSession, base: str, files: list[str]) -> list[list[str]]:
+    """Files in groups within which every column has one type.
+
+    Files of one writing job are looked at together, and halved where they differ;
+    then what agrees is put together, so there are as many groups as there are mixtures
+    of types, however many files.
+    """
+    by_writer: dict[str, list[str]] = {}
+    for file in sorted(files):
+        writer = re.search(r"part-\d+-([0-9a-f-]{36})", file)
+        by_writer.setdefault(writer[1] if writer else file, []).append(file)
+
+    def split(some: list[str]) -> list[tuple[list[str], dict[str, str]]]:
+        types = _merged(spark, base, some)
+        if types is not None:
+            return [(some, types)]
+        half = len(some) // 2
+        return split(some[:half]) + split(some[half:])
+
+    with ThreadPoolExecutor(16) as pool:
+        found = [piece for pieces in pool.map(split, by_writer.values()) for piece in pieces]
+    kinds: dict[str, set[str]] = {}
+    for _, types in found:
+        for name, kind in types.items():
+            kinds.setdefault(name, set()).add(kind)
+    mixed = sorted(name for name, seen in kinds.items() if len(seen) > 1)
+    groups: dict[tuple, list[str]] = {}
+    for some, types in found:
+        groups.setdefault(tuple(types.get(name) for name in mixed), []).extend(some)
+    return list(groups.values())
+
+
 def _exists(spark: SparkSession, folder: str) -> bool:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)

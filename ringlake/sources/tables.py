@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ringlake.schemas import SILVER_COLUMNS, SILVER_PARTITIONS
@@ -55,34 +53,6 @@ def save(df: DataFrame, table: str, path: str | None = None, partition_by: list[
     return df.sparkSession.table(table)
 
 
-# --- versions: write beside what is there, switch at the end ---------------------------
-NEXT = "__next"
-KEPT_VERSIONS = 2
-
-
-def stage(df: DataFrame, table: str, folder: str | None, partition_by: list[str] | None = None) -> DataFrame:
-    """Write the next version of ``table`` below ``folder`` and return it; the current version stays as it is."""
-    spark, name = df.sparkSession, table + NEXT
-    if has_v2_catalog(spark, table):
-        df.writeTo(name).createOrReplace()
-        return spark.table(name)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # left by a run that stopped
-    return save(df, name, f"{folder}/v-{uuid.uuid4().hex}", partition_by)
-
-
-def publish(spark: SparkSession, table: str, folder: str | None) -> DataFrame:
-    """Make the staged version the current one.  The version before keeps its files for readers that have it open."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {table}{NEXT} RENAME TO {table}")
-    if folder and not has_v2_catalog(spark, table):
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        versions = sorted(files.listStatus(path), key=lambda s: s.getModificationTime())
-        for old in [v for v in versions if v.getPath().getName().startswith("v-")][:-KEPT_VERSIONS]:
-            files.delete(old.getPath(), True)
-    return spark.table(table)
-
-
 def exists(spark: SparkSession, table: str) -> bool:
     return spark.catalog.tableExists(table)
 

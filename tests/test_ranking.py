@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from helpers import plan, same_rows, silver_rows
-from ringlake.operators.ranking import row_numbers
+from ringlake.operators.ranking import ranked_rows, row_numbers
 from ringlake.plans.subscriptions import dim_subscriptions
 
 
@@ -42,6 +42,15 @@ def test_a_group_of_copies_is_split(spark):
     assert numbered.where("c = 'x'").first().r == 1
 
 
+@pytest.mark.parametrize("hot_rows", [10, 100, 10_000])
+def test_hot_groups_take_runs_and_others_a_window(spark, hot_rows):
+    """All groups, the hot one alone, and none; the group without a key is one of them."""
+    rows = _rows(spark)
+    numbered = ranked_rows(rows, "c", _order(), "r", hot_rows, runs=8)
+    assert ("rank-runs" in plan(numbered)) == (hot_rows < 10_000)
+    assert same_rows(numbered, _expected(rows))
+
+
 def test_empty_input(spark):
     assert row_numbers(_rows(spark).limit(0), "c", _order(), "r").count() == 0
 
@@ -56,7 +65,7 @@ def test_newest_subscription_is_first(spark):
         {"subscription_id": "VT5", "activation_date": None},
         {"subscription_id": "VT6", "customer_id": "KH2"},
     )
-    for options in ({}, {"runs": 3}):
+    for options in ({}, {"runs": 3}, {"hot_rows": 2, "runs": 3}):
         ranked = dim_subscriptions(silver, **options).collect()
         assert {r.subscription_id: r.customer_subscription_rank for r in ranked} == {
             "VT3": 1, "VT4": 2, "VT2": 3, "VT1": 4, "VT6": 1,
