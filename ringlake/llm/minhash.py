@@ -7,14 +7,15 @@
 3. All samples are folded into an odd sketch: a bitmap in which each sample flips one
    bit.  The population count of the XOR of two sketches estimates their similarity,
    most precisely where it is high.
-4. Every node is first compared to one other of its buckets, the one it shares most
-   with: these stars link nearly all members of a group, however large, by one
-   comparison each.
-5. Then only buckets with nodes of different components are looked at, and only pairs
-   across these whose sketches come near the threshold: for each node the best few
-   of each other component.  Rounds go on, with more each time, until no such pair is left.
-
-Every link is confirmed on the full sets.  No step holds all pairs of a bucket as rows.
+4. Every node is compared by sketch to one other of its buckets, the one it shares most
+   with; then buckets that still hold several groups are compared across these.  What
+   comes near the threshold is one *family*.  Documents that are linked are in one
+   family, and a node is in one family only.
+5. The full sets of a family's nodes meet, block against block; a link between nodes that
+   are not connected yet is confirmed on the sets.  Components of these links are the result.
+
+Tasks hand out the edges of a spanning forest: at most one for each node of a block.  No
+step has pairs as rows, and no pair whose sketches come near is left out.
 """
 
 from __future__ import annotations
@@ -33,8 +34,8 @@ BANDS, ROWS = 32, 4
 SAMPLES = 256  # of which BANDS * ROWS are banded
 SKETCH_BITS = 512
 NEAR = 0.64  # sketch estimates from here on are checked: 4.5 standard deviations below 0.8
-BLOCK = 2048  # nodes of a bucket that one task compares with each other
-FIRST_ROUND = 32
+BLOCK = 2048  # nodes of a bucket or family that one task compares with each other
+BLOCK_SHINGLES = 2_000_000  # and the shingles of their sets together, or one node's
 NO_ID = -(1 << 63)
 
 
@@ -52,12 +53,6 @@ def shingle_set(text: str, size: int) -> np.ndarray:
     return np.unique(RollingHash(raw, _P, _P_INVERSE).of(starts[:take], ends[len(ends) - take :]))
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    """100 * intersection >= percent * union, and not both empty."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
-
-
 _RANDOM = np.random.default_rng(20240131)
 _FACTORS = _RANDOM.integers(0, 1 << 32, SAMPLES, dtype=np.uint32) | np.uint32(1)
 _SHIFTS = _RANDOM.integers(0, 1 << 32, SAMPLES, dtype=np.uint32)
@@ -123,50 +118,107 @@ def _signer(size: int):
     return signed
 
 
-def _confirmer(size: int, percent: int):
-    def confirmed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _set_bytes(size: int):
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, last, right = [], None, None
-            for x, y in zip(batch.column("x_text").to_pylist(), batch.column("y_text").to_pylist(), strict=True):
-                if y is not last and y != last:
-                    last, right = y, shingle_set(y, size)
-                keep.append(linked(shingle_set(x, size), right, percent))
-            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
-
-    return confirmed
+            held = [shingle_set(text, size).tobytes() for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(held, pa.binary())], ["node", "shingles"])
+
+    return sets
+
+
+def _near_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs whose sketches come near the threshold."""
+    for batch in batches:
+        if batch.num_rows:
+            a, b = _sketches(batch.column("a_sketch")), _sketches(batch.column("b_sketch"))
+            near = estimate(np.bitwise_count(a ^ b).sum(axis=1)) >= NEAR
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+
+def _sketches(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype="<u8").reshape(len(column), -1)
+
+
+class Forest:
+    """Groups of rows that edges have connected, and these edges."""
+
+    def __init__(self, group: np.ndarray):
+        _, self.group = np.unique(group, return_inverse=True)
+        self.edges: list[tuple[int, int]] = []
+
+    def connect(self, row: int, others: np.ndarray) -> None:
+        """Connect a row with one of each other group of ``others``."""
+        groups, first = np.unique(self.group[others], return_index=True)
+        new = groups != self.group[row]
+        self.edges += [(row, int(others[i])) for i in first[new]]
+        self.group[np.isin(self.group, groups[new])] = self.group[row]
+
+    def table(self, node: np.ndarray) -> pa.Table:
+        rows = np.array(self.edges, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pa.array(node[rows[:, 0]], pa.int64()), "b": pa.array(node[rows[:, 1]], pa.int64())})
+
+
+def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the first and of the second block; both are the same where a block meets itself."""
+    side = table.column("side").to_numpy()
+    return np.flatnonzero(side != 1), np.flatnonzero(side != 0)
+
+
+def _near_groups(table: pa.Table) -> pa.Table:
+    """Edges between the groups of a bucket whose nodes come near each other."""
+    node, group = table.column("node").to_numpy(), table.column("component").to_numpy()
+    sketch, (rows, columns) = _sketches(table.column("sketch").combine_chunks()), _sides(table)
+    forest = Forest(group)
+    names, sizes = np.unique(group, return_counts=True)
+    small = group != names[sizes.argmax()]  # a pair across groups has a row outside of the largest
+    for asked, others in ((rows, columns), (columns, rows)):
+        for r in asked[small[asked]]:
+            apart = others[forest.group[others] != forest.group[r]]
+            near = apart[estimate(np.bitwise_count(sketch[apart] ^ sketch[r]).sum(axis=1)) >= NEAR]
+            if len(near):
+                forest.connect(r, near)
+    return forest.table(node)
+
+
+def _linker(percent: int):
+    def linked_nodes(table: pa.Table) -> pa.Table:
+        """Edges that connect a family's nodes of two blocks as their links do."""
+        node, sketch, (rows, columns) = table.column("node").to_numpy(), _sketches(table.column("sketch").combine_chunks()), _sides(table)
+        sets = [np.frombuffer(s, dtype=np.uint64) for s in table.column("shingles").to_pylist()]
+        sizes = np.array([len(s) for s in sets])
+        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        starts = np.cumsum(sizes) - sizes
+        mark = np.zeros(len(flat), dtype=bool)
+        forest = Forest(np.arange(len(node)))
+
+        def confirmed(r: int, others: np.ndarray) -> np.ndarray:
+            mark[flat[starts[r] : starts[r] + sizes[r]]] = True
+            n = sizes[others]
+            ends = np.cumsum(n)
+            hits = np.append(0, np.cumsum(mark[flat[np.arange(ends[-1]) + np.repeat(starts[others] - ends + n, n)]]))
+            mark[flat[starts[r] : starts[r] + sizes[r]]] = False
+            both = hits[ends] - hits[ends - n]
+            return others[100 * both >= percent * (sizes[r] + n - both)]
 
-
-def _near_pairs(most: int):
-    """For each node of a bucket and each other component, the ``most`` best pairs from ``NEAR`` on."""
-
-    def compared(table: pa.Table) -> pa.Table:
-        side = table.column("side").to_numpy()
-        node, component = table.column("node").to_numpy(), table.column("component").to_numpy()
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), dtype="<u8").reshape(len(node), -1)
-        rows, columns = (np.flatnonzero(side != 1), np.flatnonzero(side != 0))
-        xs, ys, more = [], [], False
         for r in rows:
-            differing = np.bitwise_count(sketch[columns] ^ sketch[r]).sum(axis=1)
-            likely = estimate(differing)
-            near = np.flatnonzero((likely >= NEAR) & (component[columns] != component[r]))
-            if not len(near):
-                continue
-            near = near[np.lexsort([node[columns[near]], -likely[near], component[columns[near]]])]
-            group = component[columns[near]]
-            turn = np.arange(len(near)) - np.searchsorted(group, group)
-            more |= bool((turn >= most).any())
-            chosen = columns[near[turn < most]]
-            xs += [int(node[r])] * len(chosen)
-            ys += node[chosen].tolist()
-        return pa.table(
-            {
-                "x": pa.array(np.maximum(xs, ys) if xs else [], pa.int64()),
-                "y": pa.array(np.minimum(xs, ys) if xs else [], pa.int64()),
-                "more": pa.array([more] * len(xs), pa.bool_()),
-            }
-        )
-
-    return compared
+            apart = columns[forest.group[columns] != forest.group[r]]
+            likely = estimate(np.bitwise_count(sketch[apart] ^ sketch[r]).sum(axis=1))
+            order = np.argsort(-likely, kind="stable")
+            waiting, most = apart[order[likely[order] >= NEAR]], 1
+            while len(waiting):  # the best of each group first: one link connects a group
+                group = forest.group[waiting]
+                by_group = np.argsort(group, kind="stable")
+                turn = np.empty(len(group), dtype=np.int64)
+                turn[by_group] = np.arange(len(group)) - np.searchsorted(group[by_group], group[by_group])
+                found = confirmed(r, waiting[turn < most])
+                if len(found):
+                    forest.connect(r, found)
+                rest = waiting[turn >= most]
+                waiting, most = rest[forest.group[rest] != forest.group[r]], most * 8
+        return forest.table(node)
+
+    return linked_nodes
 
 
 # --- the operator ---------------------------------------------------------------------
@@ -204,42 +256,27 @@ def grouped(
     # Numbers are unique, and fixed once written; a set is shown by its first document.
     nodes = written(
         sets.groupBy("a", "b")
-        .agg(F.min(F.struct("doc", "tie")).alias("first"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"))
+        .agg(
+            F.min(F.struct("doc", "tie")).alias("first"), F.first("sketch").alias("sketch"),
+            F.first("bands").alias("bands"), F.first("n_shingles").alias("n_shingles"),
+        )
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     banded = nodes.select("node", F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1")
     buckets = written(banded.join(full, "key").select("key", "node", "leader"), "buckets")
-    shown_by = nodes.join(buckets.select("node").distinct(), "node", "left_semi").select("node", "first.*")
-    texts = written(rows.join(shown_by, ["doc", "tie"]).groupBy("node").agg(F.min("text").alias("text")), "bucket-texts")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """Pairs (x, y) that are linked.  A frequent y only makes its join larger, which adaptive execution splits."""
-        both = pairs.join(texts.select(F.col("node").alias("x"), F.col("text").alias("x_text")), "x").join(
-            texts.select(F.col("node").alias("y"), F.col("text").alias("y_text")), "y"
-        )
-        return both.select("x", "y", "x_text", "y_text").mapInArrow(_confirmer(size, percent), "x long, y long")
-
-    shares = buckets.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
-    best = shares.groupBy("node").agg(F.min(F.struct(-F.col("n"), "leader")).alias("best"))
-    tested = written(best.select(F.col("node").alias("x"), F.col("best.leader").alias("y")), "pairs")
-    links = written(confirmed(tested), "links")
-    most = FIRST_ROUND
-    while True:
-        found = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
-        pairs = written(_across(buckets, nodes, found, most), "pairs")
-        fresh = written(pairs.select("x", "y").distinct().join(tested, ["x", "y"], "left_anti"), "pairs")
-        news = written(confirmed(fresh), "links")
-        more = pairs.where("more").limit(1).count() > 0
-        tested = tested.unionByName(fresh)
-        if news.isEmpty() and not more:
-            break
-        links = links.unionByName(news)
-        if not more:
-            found = written(components(links.select(F.col("x").alias("a"), F.col("y").alias("b"))), "components")
-            break
-        most *= 32
+    families = written(_families(nodes, buckets), "families")
+
+    shown_by = nodes.join(families.select("node"), "node").select("node", "first.*")
+    texts = rows.join(shown_by, ["doc", "tie"]).groupBy("node").agg(F.min("text").alias("text"))
+    held = texts.mapInArrow(_set_bytes(size), "node long, shingles binary")
+    members = families.join(nodes.select("node", "sketch", "n_shingles"), "node")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int")
+    sized = members.groupBy("family").agg(blocks.alias("blocks"))
+    met = _met(members.join(sized, "family").select("node", "sketch", F.col("family").alias("key"), "blocks"))
+    edges = met.join(held, "node").groupBy("key", "i", "j").applyInArrow(_linker(percent), "a long, b long")
+    found = written(components(edges), "components")
     placed = nodes.select("node", "a", "b", "first").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = placed.groupBy("component").agg(F.min("first").alias("least"))
     named = written(placed.join(least, "component").select("a", "b", "least"), "components")
@@ -256,19 +293,32 @@ def grouped(
     )
 
 
-def _across(buckets: DataFrame, nodes: DataFrame, found: DataFrame, most: int) -> DataFrame:
-    """(x, y, more): likely pairs between components that share a bucket, the larger node first.
-
-    A bucket larger than ``BLOCK`` is compared block against block, each by a task of its own.
-    """
-    known = nodes.select("node", "sketch").join(found, "node", "left").select(
-        "node", "sketch", F.coalesce("component", "node").alias("component")
+def _families(nodes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """(node, family) of nodes that come near others: connected by pairs of a bucket whose sketches do."""
+    sketches = nodes.select("node", "sketch")
+    shares = buckets.where("node <> leader").groupBy("node", "leader").agg(F.count(F.lit(1)).alias("n"))
+    best = shares.groupBy("node").agg(F.min(F.struct(-F.col("n"), "leader")).alias("best"))
+    stars = (
+        best.select(F.col("node").alias("a"), F.col("best.leader").alias("b"))
+        .join(sketches.select(F.col("node").alias("a"), F.col("sketch").alias("a_sketch")), "a")
+        .join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("b_sketch")), "b")
     )
-    placed = buckets.select("key", "node").join(known.select("node", "component"), "node")
-    mixed = placed.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
-    ).where("low < high").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    near = written(stars.mapInArrow(_near_stars, "a long, b long"), "near")
+    first = written(components(near), "near-groups")
+    placed = buckets.select("key", "node").join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = (
+        placed.groupBy("key")
+        .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n"))
+        .where("low < high")
+        .select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    )
+    met = _met(placed.join(mixed, "key")).join(sketches, "node")
+    more = written(met.groupBy("key", "i", "j").applyInArrow(_near_groups, "a long, b long"), "near")
+    return components(near.unionByName(more)).select("node", F.col("component").alias("family"))
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """``rows`` (node, key, blocks and others) once for each pair (i, j) of blocks of their key that they are in."""
     others = F.transform(
         F.sequence(F.lit(0), F.col("blocks") - 1),
         lambda b: F.struct(
@@ -276,11 +326,5 @@ def _across(buckets: DataFrame, nodes: DataFrame, found: DataFrame, most: int) -
             F.when(F.col("at") == b, 2).when(F.col("at") < b, 0).otherwise(1).alias("side"),
         ),
     )
-    return (
-        placed.join(mixed, "key")
-        .withColumn("at", at)
-        .select("key", "node", "component", F.inline(others))
-        .join(known.select("node", "sketch"), "node")
-        .groupBy("key", "i", "j")
-        .applyInArrow(_near_pairs(most), "x long, y long, more boolean")
-    )
+    at = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return rows.withColumn("at", at).select(*[c for c in rows.columns if c != "blocks"], F.inline(others))

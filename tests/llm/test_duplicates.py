@@ -123,10 +123,10 @@ def near_rows():
     return texts + [sentence(50 + i, 80) for i in range(10)]
 
 
-@pytest.mark.parametrize("block, first", [(minhash.BLOCK, minhash.FIRST_ROUND), (2, 1)])
-def test_near_duplicates_against_brute_force(spark, monkeypatch, block, first):
+@pytest.mark.parametrize("block, shingles", [(minhash.BLOCK, minhash.BLOCK_SHINGLES), (2, minhash.BLOCK_SHINGLES), (minhash.BLOCK, 150)])
+def test_near_duplicates_against_brute_force(spark, monkeypatch, block, shingles):
     monkeypatch.setattr(minhash, "BLOCK", block)
-    monkeypatch.setattr(minhash, "FIRST_ROUND", first)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", shingles)
     texts = near_rows()
     least, sizes = groups(texts, 4, 80)
     docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
@@ -134,6 +134,41 @@ def test_near_duplicates_against_brute_force(spark, monkeypatch, block, first):
     assert got == sorted(((i, sizes[i], least[i], least[i] == i) for i in range(len(texts))), key=repr)
 
 
+def test_templates_below_the_threshold_make_no_pair_rows(spark):
+    """500 texts of which any two share some 70 %: nothing is linked, and no table has more rows than there are bands of nodes."""
+    base, rng = sentence(70, 400).split(), random.Random(9)
+    texts = []
+    for i in range(500):
+        words = list(base)
+        for at in rng.sample(range(0, 400, 5), 9):
+            words[at] = f"own{i}x{at}"
+        texts.append(" ".join(words))
+    docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for t in texts[:20]]
+    likeness = [len(a & b) / len(a | b) for i, a in enumerate(sets) for b in sets[:i]]
+    assert 0.6 < min(likeness) and max(likeness) < 0.8
+    rows, plain = [], minhash.written
+    minhash.written = lambda df, label, *a: rows.append((label, (out := plain(df, label, *a)).count())) or out
+    try:
+        got = minhash.near_duplicates(docs).collect()
+    finally:
+        minhash.written = plain
+    assert all(r.kept and r.component_id == r.doc_id for r in got) and len(got) == 500
+    assert dict(rows)["families"] == 500  # they do come near each other
+    assert max(n for _, n in rows) <= 500 * minhash.BANDS
+
+
+def test_a_bridge_and_a_chain(spark):
+    """Neighbours of a chain are linked, its ends are not; all of them are one component, in blocks of two as well."""
+    words = sentence(80, 120).split()
+    chain = [" ".join(words[: 100 - 6 * i] + [f"n{j}" for j in range(6 * i)]) for i in range(9)]
+    texts = [sentence(81, 90), *chain, sentence(82, 90)]
+    least, sizes = groups(texts, 5, 80)
+    docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(texts)])
+    assert rows_of(minhash.near_duplicates(docs), "doc_id", "component_id") == sorted(enumerate(least), key=repr)
+    assert least[9] == 1
+
+
 def test_near_duplicates_odd_rows(docs, no_docs):
     got = {r.doc_id: r for r in minhash.near_duplicates(docs).collect()}
     assert minhash.near_duplicates(docs).count() == docs.count() and minhash.near_duplicates(no_docs).count() == 0
