@@ -159,7 +159,7 @@ def merged_runs(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.nd
 # --- tasks ----------------------------------------------------------------------------
 TRIGGERS = "block long, trigger long, several boolean"
 PARSED = (
-    "kind int, doc long, tie long, trigger long, phrase long, low int, high int, place int, "
+    "kind int, doc long, tie long, trigger long, phrase long, low int, high int, "
     "n_bytes long, sha256 string, text binary, times long"
 )
 DOCUMENT, PHRASE, RUN = 0, 1, 2
@@ -211,7 +211,7 @@ def _parse_block(table: pa.Table, repeated: pa.Table) -> pa.Table:
     texts = [rows[k][0] for k in keys]
     doc, tie = (np.array([k[i] for k in keys], dtype=np.int64) for i in (0, 1))
     known = np.unique(repeated.column("trigger").to_numpy())
-    parts: dict[str, list] = {c: [] for c in ("doc", "trigger", "phrase", "low", "high", "place")}
+    parts: dict[str, list] = {c: [] for c in ("doc", "trigger", "phrase", "low", "high")}
     for start, some in _groups(texts):
         parsed = Parsed(some)
         keep = np.isin(parsed.trigger, known)
@@ -243,7 +243,6 @@ def _parse_block(table: pa.Table, repeated: pa.Table) -> pa.Table:
             "phrase": column(pa.int64(), None, p["phrase"][first]),
             "low": column(pa.int32(), None, p["low"][first], run_start),
             "high": column(pa.int32(), None, p["high"][first], run_end),
-            "place": column(pa.int32(), None, p["place"][first]),
             "n_bytes": column(pa.int64(), [len(t) for t in texts]),
             "sha256": column(pa.string(), [None if o else hashlib.sha256(t).hexdigest() for o, t in zip(open_, texts, strict=True)]),
             "text": column(pa.binary(), [t if o else None for o, t in zip(open_, texts, strict=True)]),
@@ -407,9 +406,11 @@ def remove_repeats(
     key = ["doc", "tie"]
     texts = parsed.where(F.col("kind") == DOCUMENT)
     order = Window.partitionBy("trigger", "phrase").orderBy("doc", "tie", "low")  # at most one row a block
+    # Dealt by trigger once: the numbers, the counts and their join all keep to that.
     phrases = (
         parsed.where(F.col("kind") == PHRASE)
         .select("trigger", "phrase", *key, "low", "high")
+        .repartition("trigger")
         .withColumn("turn", F.row_number().over(order))
     )
     firsts = phrases.where("turn = 1")
