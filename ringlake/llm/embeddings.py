@@ -5,6 +5,9 @@
    node belongs to its nearest centroid, its home, and to all others that are almost
    as near, so shards overlap.  Centroids are fitted on about ``SAMPLE`` nodes of a
    group, chosen by hash; all nodes are assigned.
+   Where the sample of a group shows a dense spot, nodes within half of the range around
+   it are folded into a ball (``ringlake.llm.balls``) and leave the shards: they are all
+   linked, and centroids could only cut them apart.
 3. Each shard links its nodes by robust pruning: of its ``POOL`` nearest, a node keeps
    one unless it is nearer to one kept before.  The lists of a node from all its
    shards are united.
@@ -23,6 +26,7 @@ import pyarrow as pa
 from collections.abc import Iterator
 from pyspark.sql import DataFrame, functions as F
 
+from ringlake.llm.balls import ball_links, dense_pivots, half_range, matrix as _matrix
 from ringlake.llm.components import components
 from ringlake.sources.scratch import written
 
@@ -33,76 +37,102 @@ MEDOIDS, BEAM, STRIDE, CHUNK = 16, 24, 16, 256
 AUDIT, RECALL, TRIES = 256, 0.99, 3
 
 
-def _matrix(column) -> np.ndarray:
-    """Rows of unit vectors in double precision."""
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    rows = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(flat), -1)
-    return rows / np.linalg.norm(rows, axis=1, keepdims=True)
+# --- shards ---------------------------------------------------------------------------
+def _fitter(reach: float):
+    def fit(table: pa.Table) -> pa.Table:
+        """Pivots of a group's dense spots from its sample, and centroids of the rest by a few rounds of spherical k-means."""
+        x = _matrix(table.column("vector"))
+        x = x[np.argsort(table.column("node").to_numpy(), kind="stable")]
+        pivots, covered = dense_pivots(x, reach)
+        rest = x[~covered] if (~covered).sum() > 3 else x
+        size = table.column("n")[0].as_py() * len(rest) / len(x)
+        k = min(FANOUT, max(4, -int(-2 * size // SHARD)), len(rest))
+        centers = rest[np.linspace(0, len(rest) - 1, k).astype(int)].copy()
+        for _ in range(8):
+            own = (rest @ centers.T).argmax(axis=1)
+            for c in range(k):
+                if (own == c).any():
+                    centers[c] = rest[own == c].mean(axis=0)
+            centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
+        lists = pa.list_(pa.list_(pa.float64()))
+        return pa.table(
+            {"path": table.column("path").slice(0, 1), "centers": pa.array([centers.tolist()], lists), "pivots": pa.array([pivots.tolist()], lists)}
+        )
 
+    return fit
 
-# --- shards ---------------------------------------------------------------------------
-def _fit(table: pa.Table) -> pa.Table:
-    """Centroids of a group from its sample, by a few rounds of spherical k-means."""
-    x = _matrix(table.column("vector"))
-    x = x[np.argsort(table.column("node").to_numpy(), kind="stable")]
-    k = min(FANOUT, max(4, -(-2 * table.column("n")[0].as_py() // SHARD)), len(x))
-    centers = x[np.linspace(0, len(x) - 1, k).astype(int)].copy()
-    for _ in range(8):
-        own = (x @ centers.T).argmax(axis=1)
-        for c in range(k):
-            if (own == c).any():
-                centers[c] = x[own == c].mean(axis=0)
-        centers /= np.maximum(np.linalg.norm(centers, axis=1, keepdims=True), 1e-12)
-    return pa.table({"path": table.column("path").slice(0, 1), "centers": pa.array([centers.ravel().tolist()], pa.list_(pa.float64()))})
-
-
-def _assigner(guests: int):
+
+def _assigner(guests: int, reach: float):
     def assigned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, paths = _matrix(batch.column("vector")), np.array(batch.column("path").to_pylist())
-            rows, names, homes = [], [], []
+            all_home = batch.column("home").to_numpy(zero_copy_only=False)
+            rows, names, homes, angles = [], [], [], []
             for path in np.unique(paths):
                 some = np.flatnonzero(paths == path)
-                centers = np.array(batch.column("centers")[int(some[0])].as_py()).reshape(-1, x.shape[1])
+                pivots = np.array(batch.column("pivots")[int(some[0])].as_py()).reshape(-1, x.shape[1])
+                if len(pivots):
+                    likeness = x[some] @ pivots.T
+                    best = likeness.argmax(axis=1)
+                    nearest = likeness[np.arange(len(some)), best]
+                    folded = all_home[some] & (nearest >= half_range(reach))
+                    rows.append(some[folded])
+                    names += [f"{path}#{i}" for i in best[folded].tolist()]
+                    homes.append(np.ones(int(folded.sum()), dtype=bool))
+                    angles.append(np.arccos(np.minimum(nearest[folded], 1)))
+                    some = some[~folded]
+                centers = np.array(batch.column("centers")[int(np.flatnonzero(paths == path)[0])].as_py()).reshape(-1, x.shape[1])
                 likeness = x[some] @ centers.T
                 best = likeness.argmax(axis=1)
                 # Only a node at home becomes a guest elsewhere, so copies add up over levels, not multiply.
                 order = np.argsort(-likeness, axis=1, kind="stable")[:, : guests + 1]
-                at_home = batch.column("home").to_numpy(zero_copy_only=False)[some]
-                near = likeness >= np.where(at_home, np.take_along_axis(likeness, order[:, -1:], axis=1)[:, 0], likeness.max(axis=1))[:, None]
+                near = likeness >= np.where(all_home[some], np.take_along_axis(likeness, order[:, -1:], axis=1)[:, 0], likeness.max(axis=1))[:, None]
                 r, c = np.nonzero(near)
                 rows.append(some[r])
                 names += [f"{path}/{i}" for i in c.tolist()]
-                homes.append(best[r] == c)
+                homes.append((best[r] == c) & all_home[some[r]])
+                angles.append(np.full(len(r), -1.0))
             take = pa.array(np.concatenate(rows))
-            home = np.concatenate(homes) & batch.column("home").to_numpy(zero_copy_only=False)[np.concatenate(rows)]
+            kept = [batch.column(c).take(take) for c in ("node", "copies", "vector", "label")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(take), batch.column("copies").take(take), batch.column("vector").take(take), pa.array(names, pa.string()), pa.array(home)],
-                ["node", "copies", "vector", "path", "home"],
+                [*kept, pa.array(names, pa.string()), pa.array(np.concatenate(homes)), pa.array(np.concatenate(angles))],
+                ["node", "copies", "vector", "label", "path", "home", "angle"],
             )
 
     return assigned
 
 
-def shards(nodes: DataFrame, guests: int) -> DataFrame:
-    """(node, copies, vector, path, home): every node once as at home, and as a guest elsewhere."""
-    columns = ["node", "copies", "vector", "path", "home"]
+def shards(nodes: DataFrame, guests: int, reach: float) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """(node, copies, vector, label, path, home) of nodes that are in no ball, once as at home and as guests elsewhere.
+
+    With them the nodes that were folded into balls, with their angle to the pivot, and the pivots (path, pivot).
+    """
+    columns = ["node", "copies", "vector", "label", "path", "home"]
     kind = nodes.schema["vector"].dataType.simpleString()
-    now = nodes.select("node", "copies", "vector", F.col("label").cast("string").alias("path"), F.lit(True).alias("home"))
+    label = F.col("label").cast("string")
+    now = nodes.select("node", "copies", "vector", label.alias("label"), label.alias("path"), F.lit(True).alias("home"))
+    folded = pivots = None
     for _ in range(LEVELS):
         sizes = written(now.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > SHARD), "large-groups")
         if sizes.isEmpty():
             break
         chance = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / F.lit(float(1 << 30))
         picked = now.join(sizes, "path").where(chance < SAMPLE / F.col("n")).select("path", "n", "node", "vector")
-        centers = written(picked.groupBy("path").applyInArrow(_fit, "path string, centers array<double>"), "centers")
+        centers = written(
+            picked.groupBy("path").applyInArrow(_fitter(reach), "path string, centers array<array<double>>, pivots array<array<double>>"), "centers"
+        )
         split = now.join(centers, "path").mapInArrow(
-            _assigner(guests), f"node long, copies long, vector {kind}, path string, home boolean"
+            _assigner(guests, reach), f"node long, copies long, vector {kind}, label string, path string, home boolean, angle double"
         )
-        now = written(split.unionByName(now.join(centers, "path", "left_anti").select(*columns)), "shards")
-    return now
+        split = written(split, "split")
+        here = split.where("angle >= 0")
+        at = centers.select(F.col("path").alias("group"), F.posexplode("pivots")).select(F.concat("group", F.lit("#"), "pos").alias("path"), F.col("col").alias("pivot"))
+        folded, pivots = (here, at) if folded is None else (folded.unionByName(here), pivots.unionByName(at))
+        rest = split.where("angle < 0").select(*columns).unionByName(now.join(centers, "path", "left_anti").select(*columns))
+        now = written(rest.join(here.select("node"), "node", "left_anti").select(*columns), "shards")
+    return now, folded, pivots
 
 
 # --- graph ----------------------------------------------------------------------------
@@ -242,21 +272,29 @@ def _searcher(reach: float):
     return searched
 
 
-def _search(nodes: DataFrame, reach: float, guests: int) -> DataFrame:
-    placed = shards(nodes, guests)
+def _search(nodes: DataFrame, reach: float, guests: int) -> tuple[DataFrame, DataFrame]:
+    """((node, found) links of each node, edges (a, b) that connect what is linked)."""
+    placed, folded, pivots = shards(nodes, guests, reach)
     lists = placed.groupBy("path").applyInArrow(_link_shard, "node long, near array<long>")
     # A list has at most twice DEGREE ids on average in each of a node's few shards.
     united = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    return written(
+    walked = written(
         placed.join(united, "node").groupBy("path").applyInArrow(
             _searcher(reach), "node long, home boolean, found long, least long"
         ),
         "found",
     )
+    counts = walked.where("home").select("node", "found")
+    edges = walked.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    if folded is not None:
+        more, across = ball_links(placed.where("home"), folded, pivots, reach)
+        counts = counts.unionByName(more.select("node", F.col("more").alias("found"))).groupBy("node").agg(F.sum("found").alias("found"))
+        edges = edges.unionByName(across)
+    return written(counts, "counts"), edges
 
 
 def audit(nodes: DataFrame, found: DataFrame, reach: float, size: int = AUDIT) -> float:
-    """Share of the links of ``size`` nodes, against all nodes of their labels, that the search found."""
+    """Share of the links between different vectors that the search found: those of ``size`` nodes, against all of their labels."""
     chosen = nodes.orderBy(F.xxhash64("node"), "node").limit(size).select("node", "label", "vector").collect()
     if not chosen:
         return 1.0
@@ -275,9 +313,12 @@ def audit(nodes: DataFrame, found: DataFrame, reach: float, size: int = AUDIT) -
                 total += ((asked @ _matrix(batch.column("vector")).T >= reach) & same) @ copies
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total, pa.int64())], ["node", "near"])
 
-    true = nodes.mapInArrow(compared, "node long, near long").groupBy("node").agg((F.sum("near") - 1).alias("near"))
+    true = nodes.mapInArrow(compared, "node long, near long").groupBy("node").agg(F.sum("near").alias("near"))
+    copies = nodes.select("node", "copies")
     sums = (
-        true.join(found.where("home").select("node", "found"), "node", "left")
+        true.join(found, "node", "left")
+        .join(copies, "node")
+        .select((F.col("near") - F.col("copies")).alias("near"), (F.col("found") - F.col("copies") + 1).alias("found"))
         .agg(F.sum(F.least("near", F.coalesce("found", F.lit(0)))).alias("hit"), F.sum("near").alias("all"))
         .first()
     )
@@ -307,15 +348,14 @@ def near_embeddings(
         "nodes",
     )
     for attempt in range(TRIES):
-        found = _search(nodes, reach, GUESTS * 2**attempt)
+        found, edges = _search(nodes, reach, GUESTS * 2**attempt)
         recall = audit(nodes, found, reach)
         if recall >= RECALL:
             break
     if recall < 0.9:
         raise RuntimeError(f"the graph search found {recall:.3f} of the audited links")
-    edges = found.where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
     named = components(edges)
-    counted = found.where("home").select("node", "found").join(named, "node", "left")
+    counted = found.join(named, "node", "left")
     answered = nodes.join(counted, "node").select(
         F.col("label").alias("__label"), F.col("vector").alias("__vector"), "found", F.coalesce("component", "node").alias("component")
     )

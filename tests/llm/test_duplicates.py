@@ -247,6 +247,32 @@ def test_embeddings_against_brute_force(spark, monkeypatch, shard):
     assert got == wanted if shard != 40 else missed <= 0.02 * len(wanted)
 
 
+def test_a_large_group_of_near_equal_vectors(spark):
+    """3000 near-equal and 1000 other vectors of one label, with a second group at the edge of the first one's range."""
+    rng = np.random.default_rng(6)
+    tight, other = rng.normal(size=32), rng.normal(size=32)
+    other -= tight * (other @ tight) / (tight @ tight)
+    edge = tight / np.linalg.norm(tight) * 0.93 + other / np.linalg.norm(other) * np.sqrt(1 - 0.93**2)
+    x = np.concatenate([
+        tight + rng.normal(size=(3000, 32)) * 0.02, edge * np.linalg.norm(tight) + rng.normal(size=(300, 32)) * 0.05,
+        rng.normal(size=(700, 32)),
+    ]).astype(np.float32)
+    x = x[rng.permutation(len(x))]
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    linked = u @ u.T >= 0.93
+    links = linked.sum(axis=1) - 1
+    least = np.arange(len(u))
+    while True:
+        new = np.where(linked, least[None, :], len(u)).min(axis=1)
+        if (new == least).all():
+            break
+        least = new
+    frame = spark.createDataFrame([(i, v, 5) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>, label int")
+    got = rows_of(embeddings.near_embeddings(frame), "vec_id", "n_links", "component_id")
+    assert got == sorted(((i, int(links[i]), int(least[i])) for i in range(len(u))), key=repr)
+    assert links.max() >= 2999 and ((links > 0) & (links < 2999)).any()
+
+
 def test_embeddings_empty(spark):
     frame = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embeddings.near_embeddings(frame).count() == 0
