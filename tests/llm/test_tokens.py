@@ -170,3 +170,20 @@ def test_program_places_pieces_where_greed_falls_short():
 def test_bounded_knapsack():
     which, copies = packing.dearest_pattern(np.array([3, 4, 5]), np.array([2.0, 3.0, 3.9]), 20, np.array([4, 1, 1]))
     assert dict(zip(which.tolist(), copies.tolist())) == {0: 3, 1: 1, 2: 1}
+
+
+@pytest.mark.parametrize("rounds", [0, 1, 50])
+def test_the_program_ends_in_time(monkeypatch, rounds):
+    """900 lengths that greed packs badly: with a few rounds only, every piece still has its place."""
+    lengths, demand = np.arange(1100, 2000), np.full(900, 20)
+    cells = int(np.ceil(np.log2(np.minimum(4096 // lengths, 20) + 1)).sum()) * 4097
+    monkeypatch.setattr(packing, "MOST_CELLS", rounds * cells)
+    chosen, bound = packing.priced_patterns(lengths, demand.astype(float), 4096)
+    assert bound <= (lengths * demand).sum() / 2048
+    patterns = packing.packed_patterns(lengths, demand)
+    held = dict.fromkeys(lengths.tolist(), 0)
+    for p in patterns:
+        assert (p.lengths * p.copies).sum() <= 4096
+        for length, n in zip(p.lengths.tolist(), p.copies.tolist(), strict=True):
+            held[length] += n * p.bins
+    assert set(held.values()) == {20}
