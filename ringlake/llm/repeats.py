@@ -413,18 +413,19 @@ def remove_repeats(
         .repartition("trigger")
         .withColumn("turn", F.row_number().over(order))
     )
-    firsts = phrases.where("turn = 1")
-    several = firsts.groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    several = phrases.where("turn = 1").groupBy("trigger").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    first, chosen = F.col("turn") == 1, F.struct("trigger", "low", "high")
     shared = (
-        firsts.join(several, "trigger")
+        phrases.join(several, "trigger", "left")
+        .where("turn > 1 OR n IS NOT NULL")
         .groupBy(*key)
         .agg(
-            *[
-                F.collect_list(F.when(chosen, F.struct("trigger", "low", "high"))).alias(name)
-                for name, chosen in (("few", F.col("n") <= bucket_phrases), ("many", F.col("n") > bucket_phrases))
-            ]
+            F.collect_list(F.when(first & (F.col("n") <= bucket_phrases), chosen)).alias("few"),
+            F.collect_list(F.when(first & (F.col("n") > bucket_phrases), chosen)).alias("many"),
+            F.collect_list(F.when(~first, F.struct(F.col("low").alias("start"), (F.col("high") + SPAN).alias("end")))).alias("later"),
         )
     )
+    # Written with the phrases that have occurred before, so that phrases are dealt no second time.
     shared = written(shared, "shared", "zstd")
     # One exchange of the texts serves all that follows.
     bodies = texts.where("text IS NOT NULL").select(*key, "text")
@@ -448,7 +449,7 @@ def remove_repeats(
     far = strings.join(earliest, ["trigger", "string"]).where(place != F.col("earliest"))
     runs = (
         parsed.where(F.col("kind") == RUN).select(*key, F.col("low").alias("start"), F.col("high").alias("end"))
-        .unionByName(phrases.where("turn > 1").select(*key, F.col("low").alias("start"), (F.col("high") + SPAN).alias("end")))
+        .unionByName(shared.select(*key, F.inline("later")))
         .unionByName(near)
         .unionByName(far.select(*key, "start", (F.col("start") + SPAN).alias("end")))
         .groupBy(*key)
