@@ -35,7 +35,7 @@ SAMPLES = 256  # of which BANDS * ROWS are banded
 SKETCH_BITS = 512
 NEAR = 0.64  # sketch estimates from here on are checked: 4.5 standard deviations below 0.8
 BLOCK = 2048  # nodes of a bucket or family that one task compares with each other
-BLOCK_SHINGLES = 2_000_000  # and the shingles of their sets together, or one node's
+BLOCK_SHINGLES = 500_000  # and the shingles of their sets together, or one node's
 NO_ID = -(1 << 63)
 
 
