@@ -57,7 +57,7 @@ STAGES = [
     ("best-fit packing", packed_sequences),
 ]
 
-# Sketches, parsing and pricing have no SQL form; tests compare the stages with brute force.
+# Sketches, parsing and pricing have no SQL form; tests compare each operator with brute force, and the stages with the operators.
 ORACLE_SQL = None
 
 
