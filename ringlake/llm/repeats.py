@@ -404,7 +404,7 @@ def remove_repeats(
     )
 
     key = ["doc", "tie"]
-    texts = parsed.where(F.col("kind") == DOCUMENT)
+    texts = parsed.where(F.col("kind") == DOCUMENT).select(*key, "times", "n_bytes", "sha256", "text")
     order = Window.partitionBy("trigger", "phrase").orderBy("doc", "tie", "low")  # at most one row a block
     # Dealt by trigger once: the numbers, the counts and their join all keep to that.
     phrases = (
@@ -427,11 +427,11 @@ def remove_repeats(
     )
     # Written with the phrases that have occurred before, so that phrases are dealt no second time.
     shared = written(shared, "shared", "zstd")
-    # One exchange of the texts serves all that follows.
-    bodies = texts.where("text IS NOT NULL").select(*key, "text")
+    # One exchange of the texts serves all that follows, so it has the same columns and filters in each use.
+    bodies = texts.where("text IS NOT NULL AND doc IS NOT NULL AND tie IS NOT NULL").drop("sha256")
     some = lambda name: bodies.join(
         shared.where(F.size(name) > 0).select(*key, F.col(name).alias("phrases")), key
-    ).select(*key, "text", "phrases")
+    )
     near = (
         some("few")
         .mapInArrow(_phrase_bytes, "trigger long, doc long, tie long, low int, high int, bytes binary")
@@ -455,8 +455,7 @@ def remove_repeats(
         .groupBy(*key)
         .agg(F.collect_list(F.struct("start", "end")).alias("runs"))
     )
-    texts = texts.select(*key, "times", "n_bytes", "sha256", "text")
-    cut = texts.where("text IS NOT NULL").join(runs, key, "left").mapInArrow(
+    cut = bodies.join(runs, key, "left").mapInArrow(
         _cutter(characters),
         "doc long, tie long, times long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary",
     )
