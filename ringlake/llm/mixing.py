@@ -9,7 +9,9 @@ documents in order, the last one in part, so that the budget is met to the word.
 The order is cut into key ranges of about ``RANGE_ROWS`` documents.  A hot source
 simply has more ranges.  Only the totals of the ranges meet in one window per source,
 one row for each ``RANGE_ROWS`` documents; a document's running total is its range's
-start plus a running sum inside the range.
+start plus a running sum inside the range.  A range that is ``HOT`` times as large
+holds an id that many rows share, or null ids: it is cut again by id and size, and rows
+alike in both by a hash of the text.  Only copies of one id and text stay in one piece.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from ringlake.sources.scratch import written
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 RANGE_ROWS = 2048
+HOT = 8
 FEW_SOURCES = 10_000
 
 
@@ -101,6 +104,7 @@ def mix(
         F.col(source).alias("source"),
         size.alias("size"),
         key.alias("key"),
+        (F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long")).alias("tie"),
     ).withColumn(
         # Never null, so that equality joins and windows share one exchange.
         "named", F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
@@ -118,28 +122,23 @@ def mix(
     position = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
     ranges = F.floor(position * (1 + F.expr(f"source_rows div {int(range_rows)}")))
     placed = rows.drop("source").join(targets, "named").withColumn("range", ranges)
-    starts = (
-        placed.groupBy("named", "range")
-        .agg(F.sum("size").alias("range_size"))
-        .withColumn(
-            "start",
-            F.coalesce(
-                F.sum("range_size").over(
-                    Window.partitionBy("named").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .select("named", "range", "start")
-    )
-    inside = (
-        Window.partitionBy("named", "range").orderBy("key", "size", "row").rowsBetween(Window.unboundedPreceding, -1)
+    at = ["named", "range"]
+    ranges = written(
+        _started(
+            placed.groupBy(*at).agg(F.sum("size").alias("total"), F.count(F.lit(1)).alias("n")), ["named"], ["range"]
+        ),
+        "mix-ranges",
     )
-    before = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    hot = ranges.where(F.col("n") > HOT * range_rows).select(*at, "start", "n")
+    n_hot = hot.count()
+    if not n_hot:
+        numbered = _numbered(placed, ranges.select(*at, "start"), at)
+    else:
+        hot = F.broadcast(hot) if n_hot <= FEW_SOURCES else hot
+        calm = placed.join(hot.select(*at), at, "left_anti")
+        numbered = _numbered(calm, ranges.select(*at, "start"), at).unionByName(_cut_again(placed, hot, range_rows))
     return (
-        placed.join(starts, ["named", "range"])
-        .withColumn("before", before)
-        .withColumns(
+        numbered.withColumns(
             {
                 "epochs": F.when(F.col("source_size") > 0, F.expr("budget div source_size")).otherwise(F.lit(0)),
                 "rest": F.when(F.col("source_size") > 0, F.expr("budget % source_size")).otherwise(F.lit(0)),
@@ -154,6 +153,39 @@ def mix(
     )
 
 
+def _started(totals: DataFrame, of: list[str], order: list[str], start: str = "start") -> DataFrame:
+    """``totals`` with the sum of ``total`` over the rows before, ``of`` by ``of``."""
+    before = Window.partitionBy(*of).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.withColumn(start, F.coalesce(F.sum("total").over(before), F.lit(0)))
+
+
+def _numbered(rows: DataFrame, starts: DataFrame, at: list[str]) -> DataFrame:
+    """``rows`` with ``before``, the words before each in the order of its source."""
+    inside = Window.partitionBy(*at).orderBy("key", "size", "tie", "row").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    return rows.join(starts, at).withColumn("before", before).drop("start")
+
+
+def _cut_again(placed: DataFrame, hot: DataFrame, range_rows: int) -> DataFrame:
+    """``_numbered`` for the rows of hot ranges.
+
+    Words before an id and size come from totals of these, one row for each.  Rows alike
+    in both are cut by their hash, so that a piece has about ``range_rows`` of them.
+    """
+    group = ["named", "range", "key", "size"]
+    pieces = F.expr(f"1 + n div {int(range_rows)}")
+    rows = placed.join(hot, ["named", "range"]).withColumn("piece", F.pmod(F.xxhash64("tie"), pieces)).drop("n")
+    totals = rows.groupBy(*group, "piece").agg(F.sum("size").alias("total"), F.first("start").alias("start"))
+    by_group = totals.groupBy(*group).agg(F.sum("total").alias("total"))
+    by_group = _started(by_group, ["named", "range"], ["key", "size"], "in_range").drop("total")
+    starts = (
+        _started(totals.withColumnRenamed("start", "first"), group, ["piece"], "in_group")
+        .join(by_group, group)
+        .select(*group, "piece", (F.col("first") + F.col("in_range") + F.col("in_group")).alias("start"))
+    )
+    return _numbered(rows.drop("start"), starts, [*group, "piece"]).drop("piece")
+
+
 def mixed_documents(docs: DataFrame, text: str = "text", **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, in the columns of ``docs``.
 

@@ -37,6 +37,21 @@ def test_many_sources_take_the_plain_join(spark, docs, monkeypatch):
     assert rows_of(mixing.mix(docs, keep=["doc_id"]), "row.doc_id", "taken") == expected
 
 
+def test_ids_that_many_rows_share_are_cut_again(spark, monkeypatch):
+    rows = [(None if i % 3 else i, sentence(i, 5 + i % 4), "en", "ab"[i % 5 == 0]) for i in range(400)]
+    rows += [(7, "one and the same", "en", "a")] * 60 + [(8, None, "en", "a")] * 60
+    docs = documents(spark, rows)
+    columns = ["row.doc_id", "size", "source_size", "target", "taken"]
+    whole = rows_of(mixing.mix(docs, keep=["doc_id"], range_rows=10_000), *columns)
+    assert rows_of(mixing.mix(docs, keep=["doc_id"], range_rows=4), *columns) == whole
+    cut = mixing._cut_again
+    pieces = []
+    monkeypatch.setattr(mixing, "_cut_again", lambda *a: pieces.append(cut(*a)) or pieces[-1])
+    monkeypatch.setattr(mixing, "FEW_SOURCES", 0)
+    assert rows_of(mixing.mix(docs, keep=["doc_id"], range_rows=4), *columns) == whole
+    assert pieces and pieces[0].count() > 300
+
+
 def test_the_mix_itself(spark):
     rows = [(i, sentence(i, 10 + i), "en", "abc"[i % 3]) for i in range(30)]
     docs = documents(spark, rows)
