@@ -22,6 +22,7 @@ from ringlake.sources.scratch import written
 ORDER = 4
 ALPHABET = 256  # symbols that order 0 spreads its unseen mass over
 MISSED = 0.02  # the threshold lies midway between this quantile of allowed and its mirror of blocked URLs
+DIGITS = 4  # of a score that count for the threshold: its histogram is small, and no order of sums shows
 START, STOP = "\u0002", "\u0003"
 
 
@@ -131,16 +132,15 @@ def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rul
     # Half of the rule URLs teach, the other half sets the threshold: one number.
     taught = written(scored_grams(counts.where("fold = 0"), wanted), "url-ratios")
     held_out = _scores(grams.where("fold = 1 AND matched IS NOT NULL"), taught, "matched.verdict")
-    quantile = lambda which, share: F.percentile_approx(F.when(F.col("verdict") == which, F.col("score")), share, 10_000)
-    low, high = held_out.agg(quantile("allow", MISSED), quantile("block", 1 - MISSED)).first()
+    threshold = calibrated(held_out)
     known = all(counts.agg(F.sum("n_allow"), F.sum("n_block")).first())
-    threshold = (low + high) / 2 if known and low is not None and high is not None else 0.0
+    threshold = threshold if known and threshold is not None else 0.0
 
     ratios = written(scored_grams(counts, wanted), "url-ratios") if known else wanted.withColumn("ratio", F.lit(0.0))
     key = ["page_id", "line"]
     scores = _scores(grams, ratios)
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in key]
-    by_score = F.when(F.col("s.score") >= threshold, "allow").otherwise("block")
+    by_score = F.when(F.round("s.score", DIGITS) >= threshold, "allow").otherwise("block")
     return (
         rows.alias("r")
         .join(scores.alias("s"), same, "left")
@@ -151,6 +151,18 @@ def judge_urls(pages: DataFrame, page_id: str = "page_id", url: str = "url", rul
     )
 
 
+def calibrated(judged: DataFrame) -> float | None:
+    """The threshold for rows (verdict, score) of known verdicts; null unless both verdicts occur.
+
+    Exact quantiles over counts of rounded scores, so neither the number of rows nor
+    their order in partitions matters.
+    """
+    histogram = judged.groupBy("verdict", F.round("score", DIGITS).alias("score")).agg(F.count(F.lit(1)).alias("n"))
+    quantile = lambda which, share: F.percentile(F.when(F.col("verdict") == which, F.col("score")), share, F.col("n"))
+    low, high = histogram.agg(quantile("allow", MISSED), quantile("block", 1 - MISSED)).first()
+    return None if low is None or high is None else (low + high) / 2
+
+
 def _scores(grams: DataFrame, ratios: DataFrame, *more: str) -> DataFrame:
     """(page_id, line, score): mean ratio over the n-grams of a URL, one row for each id and line."""
     return grams.join(ratios, "gram").groupBy("page_id", "line", *more).agg(F.avg("ratio").alias("score"))

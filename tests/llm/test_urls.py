@@ -70,6 +70,80 @@ def test_models_separate_held_out_hosts(spark):
     assert [got[120], got[121]] == ["allow", "block"]
 
 
+def quantile(values, share):
+    at = share * (len(values) - 1)
+    low, high = sorted(values)[math.floor(at)], sorted(values)[math.ceil(at)]
+    return low + (high - low) * (at - math.floor(at))
+
+
+def test_threshold_against_brute_force(spark):
+    scores = {"allow": [math.sin(i) + 0.5 for i in range(701)], "block": [math.cos(i) - 0.5 for i in range(333)]}
+    rows = [(v, s) for v, found in scores.items() for s in found]
+    frame = spark.createDataFrame(rows + [(None, 99.0)], "verdict string, score double")
+    rounded = {v: [round(s, urls.DIGITS) for s in found] for v, found in scores.items()}
+    wanted = (quantile(rounded["allow"], urls.MISSED) + quantile(rounded["block"], 1 - urls.MISSED)) / 2
+    for parts in (1, 7):
+        assert abs(urls.calibrated(frame.repartition(parts)) - wanted) < 1e-12
+    assert urls.calibrated(frame.where("verdict = 'allow'")) is None
+
+
+def test_verdicts_against_brute_force(spark):
+    """Folds, models, threshold and verdicts, from the rules on."""
+    words = ["news", "win", "casino", "library", "shop", "bonus", "press"]
+    hosts = ["org", "net", "com", "example.com", "example.net", "de"]
+    made = [f"http://{words[i % 7]}{i % 13}.{hosts[i % 6]}/{['fr', 'de', 'en'][i % 3]}/{words[i * 5 % 7]}{i}" for i in range(240)]
+    frame = spark.createDataFrame(list(enumerate(made)), "page_id long, url string")
+    folds = dict(frame.select("page_id", F.pmod(F.xxhash64(urls.host_of(F.col("url")), urls.path_of(F.col("url"))), F.lit(2))).collect())
+    lines = {i: "".join(host_path(url)) for i, url in enumerate(made)}
+    ruled = {}
+    for i, url in enumerate(made):
+        host, path = host_path(url)
+        fits = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+        if fits:
+            ruled[i] = max(fits, key=lambda r: len(r.text)).verdict
+
+    def grams(line):
+        padded = urls.START * urls.ORDER + re.sub("[0-9]", "0", line) + urls.STOP
+        return [padded[at : at + urls.ORDER + 1] for at in range(len(padded) - urls.ORDER)]
+
+    def model(kind, teachers):
+        follow = {}
+        for i in teachers:
+            for g in grams(lines[i]) if ruled[i] == kind else ():
+                for order in range(urls.ORDER + 1):
+                    seen = follow.setdefault(g[urls.ORDER - order : urls.ORDER], {})
+                    seen[g[-1]] = seen.get(g[-1], 0) + 1
+
+        def chance(g):
+            p = 1 / urls.ALPHABET
+            for order in range(urls.ORDER + 1):
+                seen = follow.get(g[urls.ORDER - order : urls.ORDER])
+                if seen:
+                    p = (seen.get(g[-1], 0) + len(seen) * p) / (sum(seen.values()) + len(seen))
+            return p
+
+        return chance
+
+    def scorer(teachers):
+        allow, block = model("allow", teachers), model("block", teachers)
+        return lambda i: sum(math.log(allow(g)) - math.log(block(g)) for g in grams(lines[i])) / len(grams(lines[i]))
+
+    half = scorer([i for i in ruled if folds[i] == 0])
+    held = {v: [round(half(i), urls.DIGITS) for i in ruled if folds[i] == 1 and ruled[i] == v] for v in ("allow", "block")}
+    threshold = (quantile(held["allow"], urls.MISSED) + quantile(held["block"], 1 - urls.MISSED)) / 2
+    whole = scorer(list(ruled))
+    got = {r.page_id: r for r in urls.judge_urls(frame).collect()}
+    assert len(ruled) < len(got) == len(made)
+    for i in range(len(made)):
+        score = whole(i)
+        assert abs(got[i].score - score) < 1e-9
+        if i in ruled:
+            assert got[i].verdict == ruled[i]
+        elif abs(score - threshold) > 1e-4:
+            assert got[i].verdict == ("allow" if score > threshold else "block")
+    assert {got[i].verdict for i in range(len(made)) if i not in ruled} == {"allow", "block"}
+
+
 def test_without_rule_urls_and_empty(spark):
     frame = spark.createDataFrame([(1, "http://h.com/"), (1, "http://h.com/"), (None, None)], "page_id long, url string")
     assert [r.verdict for r in urls.judge_urls(frame).collect()] == ["allow"] * 3
