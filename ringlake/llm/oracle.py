@@ -57,12 +57,12 @@ WITH turns AS (
   UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
   UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
 ), each AS (
-  SELECT *, {len(TURN) + len(SAYS) + len(END)} + length({_escaped("role")}) + length({_escaped("text")}) AS chars FROM turns
+  SELECT *, {_escaped("text")} AS content, {len(TURN) + len(SAYS) + len(END)} + length({_escaped("role")}) + length({_escaped("text")}) AS chars FROM turns
 )
 SELECT conv_id, count(*) AS n_turns,
-       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, content)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, content) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM each GROUP BY conv_id
 """
