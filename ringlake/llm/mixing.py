@@ -99,12 +99,15 @@ def mix(
     """
     size = word_count(F.col("text")) if size is None else size
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
+    kept = docs.columns if keep is None else keep
+    others = [F.col(f"`{c}`") for c in kept if c not in (doc_id, source, "text")]
     rows = docs.select(
-        F.struct(*[F.col(c) for c in (docs.columns if keep is None else keep)]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
         F.col(source).alias("source"),
         size.alias("size"),
         key.alias("key"),
         (F.xxhash64("text") if "text" in docs.columns else F.lit(0).cast("long")).alias("tie"),
+        (F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0).cast("long")).alias("other"),
     ).withColumn(
         # Never null, so that equality joins and windows share one exchange.
         "named", F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
@@ -161,7 +164,7 @@ def _started(totals: DataFrame, of: list[str], order: list[str], start: str = "s
 
 def _numbered(rows: DataFrame, starts: DataFrame, at: list[str]) -> DataFrame:
     """``rows`` with ``before``, the words before each in the order of its source."""
-    inside = Window.partitionBy(*at).orderBy("key", "size", "tie", "row").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*at).orderBy("key", "size", "tie", "other").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("start") + F.coalesce(F.sum("size").over(inside), F.lit(0))
     return rows.join(starts, at).withColumn("before", before).drop("start")
 

@@ -474,15 +474,16 @@ def without_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     """``docs`` with repeated bytes gone from ``text``.
 
     A character that is left in part goes as well.  All rows stay; one with nothing left is empty.
+    Other columns are carried inside a struct, so their names and types do not matter.
     """
     cut = remove_repeats(docs, doc_id, text, characters=True).where("n_removed > 0").select(
-        F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("__doc"), F.col("tie").alias("__tie"), F.col("kept").alias("__kept")
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "tie", "kept"
     )
-    whole = docs.withColumns(
-        {
-            "__doc": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)),
-            "__tie": F.xxhash64(F.coalesce(F.col(text), F.lit(""))),
-        }
+    whole = docs.select(
+        F.struct("*").alias("row"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tie"),
     )
-    left = F.when(F.col("__kept").isNotNull(), F.col("__kept").cast("string")).otherwise(F.col(text))
-    return whole.join(cut, ["__doc", "__tie"], "left").select(*[left.alias(c) if c == text else F.col(c) for c in docs.columns])
+    given = F.col("row").getField
+    left = F.when(F.col("kept").isNotNull(), F.col("kept").cast("string")).otherwise(given(text))
+    return whole.join(cut, ["doc", "tie"], "left").select(*[(left if c == text else given(c)).alias(c) for c in docs.columns])
