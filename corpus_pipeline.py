@@ -18,13 +18,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shares 80 % of its runs of five words; of rows with one id and text, the least."""
-    key = minhash.document_key()
-    kept = minhash.grouped(docs).where("kept").select(F.col("doc").alias("__doc"), F.col("tie").alias("__tie")).distinct()
+    key = {k: c.alias(k) for k, c in minhash.document_key().items()}
+    kept = minhash.grouped(docs).where("kept").select("doc", "tie").distinct()
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    # Rows of a group differ in the other columns only; as JSON these have an order, maps too.
+    order = F.to_json(F.struct(*[F.col(f"row.`{c}`") for c in others])) if others else F.lit("")
     return (
-        docs.withColumns({f"__{k}": c for k, c in key.items()})
-        .join(kept, ["__doc", "__tie"], "left_semi")
-        .groupBy("__doc", "__tie")
-        .agg(F.min(F.struct(*docs.columns)).alias("row"))
+        docs.select(F.struct("*").alias("row"), *key.values())
+        .join(kept, ["doc", "tie"], "left_semi")
+        .groupBy("doc", "tie")
+        .agg(F.min_by("row", order).alias("row"))
         .select("row.*")
     )
 
