@@ -1,13 +1,12 @@
 """Packing token sequences of bounded length, as few as possible.
 
 Only the histogram of piece lengths, at most ``capacity`` numbers, comes to the
-driver.  There the pieces are first packed greedily, longest first, which needs no more
-than ``GAP`` above the sum of all lengths if there are many short pieces: then that is
-the packing.  Otherwise a configuration linear program chooses patterns of lengths that
-share a sequence: multiplicative weights put a price on each length, a knapsack dynamic
-program finds the dearest pattern, its lengths get cheaper, and so on, until the amounts
-are within ``GAP`` of the bound that the prices prove.  Amounts are rounded down; what is
-left is packed greedily.  If that has more sequences than greed alone, greed alone counts.
+driver.  There a configuration linear program chooses patterns of lengths that share a
+sequence: multiplicative weights put a price on each length, a bounded knapsack dynamic
+program finds the dearest patterns, their lengths get cheaper, and so on, until the amounts
+are within ``GAP`` of the bound that the prices prove.  Amounts are rounded down, and the
+rest is filled with the dearest patterns that it allows, at the program's prices.  Only
+what is left when ``MOST_CELLS`` end is packed greedily, longest first.
 
 The pieces themselves stay distributed.  Each gets a number among the pieces of its
 length (its rank in its task, plus the counts of the tasks before), and a table of
@@ -16,6 +15,7 @@ patterns maps (length, number) to a sequence and an offset.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -33,7 +33,8 @@ CAPACITY = 4096
 GAP = 0.01  # of the program's amounts above its proven bound
 STEPS = (0.3, 0.1, 0.03, 0.01)  # of the weights, a phase each
 PHASE_ROUNDS = 5000  # ends a phase that has not covered all lengths often enough
-MOST_CELLS = 16_000_000_000  # of all knapsack tables: one or two minutes of the driver
+LONGEST = 150  # lengths, and as many others, that a round of rounding prices
+MOST_CELLS = 2_000_000_000  # of all knapsack tables of the program, and twice as many of its rounding
 
 
 def pieces_of(
@@ -105,72 +106,173 @@ class Pattern:
     by_program: bool = False
 
 
+class Knapsack:
+    """Dearest fillings by dynamic programming, with no more copies of a length than ``most``.  ``lengths`` ascend.
+
+    One table holds the best filling with the lengths up to each one, so that besides the
+    dearest of all it gives the dearest filling for every length as the longest piece.
+    """
+
+    def __init__(self, lengths: np.ndarray, prices: np.ndarray, capacity: int, most: np.ndarray):
+        self.lengths, self.capacity = lengths, capacity
+        # Bundles of 1, 2, 4, ... copies make up any number of them; one copy comes last, by itself.
+        self.bundles: list[tuple[int, int, int]] = []
+        self.ends = np.zeros(len(lengths), dtype=np.int64)
+        for i, (length, n) in enumerate(zip(lengths.tolist(), most.tolist(), strict=True)):
+            bundle = 1
+            while n > 1:
+                bundle = min(bundle, n - 1)
+                self.bundles.append((i, bundle, bundle * length))
+                n -= bundle
+                bundle *= 2
+            self.ends[i] = len(self.bundles)
+            if n:
+                self.bundles.append((i, 1, length))
+        best = np.zeros(capacity + 1)
+        # The last bundle that the best filling of each room has among those before.
+        self.last = np.full((len(self.bundles) + 1, capacity + 1), -1, dtype=np.int16)
+        self.values = np.zeros(len(lengths))
+        price_of, length_of, ends = prices.tolist(), lengths.tolist(), self.ends.tolist()
+        for at, (i, bundle, size) in enumerate(self.bundles):
+            if at == ends[i]:
+                self.values[i] = price_of[i] + best[capacity - length_of[i]]
+            value, row = best[: capacity + 1 - size] + bundle * price_of[i], self.last[at + 1]
+            row[:] = self.last[at]
+            np.copyto(row[size:], at, where=value > best[size:])
+            np.maximum(best[size:], value, out=best[size:])
+        self.value = float(best[capacity])
+
+    def pattern(self, longest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(which, copies) of the dearest filling, or of the dearest with this length as its longest piece."""
+        held: dict[int, int] = {} if longest is None else {longest: 1}
+        room = self.capacity - (0 if longest is None else int(self.lengths[longest]))
+        at = self.last[len(self.bundles) if longest is None else self.ends[longest], room]
+        while at >= 0:
+            i, bundle, size = self.bundles[at]
+            held[i] = held.get(i, 0) + bundle
+            room -= size
+            at = self.last[at, room]
+        which = np.array(sorted(held), dtype=np.int64)
+        return which, np.array([held[i] for i in which.tolist()], dtype=np.int64)
+
+
+def _most(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> np.ndarray:
+    return np.minimum(capacity // lengths, demand.astype(np.int64))
+
+
 def dearest_pattern(
     lengths: np.ndarray, prices: np.ndarray, capacity: int, demand: np.ndarray | None = None
 ) -> tuple[np.ndarray, np.ndarray]:
     """Knapsack by dynamic programming, with no more copies of a length than its demand.  ``lengths`` ascend."""
-    most = capacity // lengths if demand is None else np.minimum(capacity // lengths, demand.astype(np.int64))
-    best, items = np.zeros(capacity + 1), []
-    # Bundles of 1, 2, 4, ... copies make up any number of them.
-    for i, (length, price, n) in enumerate(zip(lengths.tolist(), prices.tolist(), most.tolist(), strict=True)):
-        bundle = 1
-        while n > 0:
-            bundle = min(bundle, n)
-            size = bundle * length
-            value = best[: capacity + 1 - size] + bundle * price
-            better = value > best[size:]
-            best[size:][better] = value[better]
-            items.append((i, bundle, size, better))
-            n -= bundle
-            bundle *= 2
-    copies, room = np.zeros(len(lengths), dtype=np.int64), capacity
-    for i, bundle, size, better in reversed(items):
-        if room >= size and better[room - size]:
-            copies[i] += bundle
-            room -= size
-    which = np.flatnonzero(copies)
-    return which, copies[which]
+    return Knapsack(lengths, prices, capacity, capacity // lengths if demand is None else _most(lengths, demand, capacity)).pattern()
 
 
-def priced_patterns(
+def _table_cells(most: np.ndarray, capacity: int) -> int:
+    return int(np.ceil(np.log2(np.maximum(most, 1)) + 1).sum()) * (capacity + 1)
+
+
+def configuration_program(
     lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
-) -> tuple[list[tuple[float, np.ndarray, np.ndarray]], float]:
-    """Fractional patterns (amount, which, copies) that cover the demand, and a lower bound of any such sum of amounts.
+) -> tuple[list[tuple[float, np.ndarray, np.ndarray]], float, np.ndarray]:
+    """Fractional patterns (amount, which, copies) that cover the demand, a lower bound of any such sum of amounts, and its prices.
 
     The sum is at most ``gap`` above the bound, unless all ``STEPS`` or ``MOST_CELLS`` end
-    before; then it is the best found, which may be none.
+    before; then it is the best found, which may be none.  A round prices all lengths once
+    and takes every pattern that stays nearly as dear as the dearest while prices fall.
     """
-    copies = np.minimum(capacity // lengths, demand.astype(np.int64))
-    cells, rounds = int(np.ceil(np.log2(copies + 1)).sum()) * (capacity + 1), 0
+    most = _most(lengths, demand, capacity)
+    cells, rounds = _table_cells(most, capacity), 0
     logs = np.log(lengths * demand)  # the first prices are the lengths: the bound starts at the sum of all lengths
-    bound, best, least = 0.0, [], np.inf
+    bound, prices, best, least = 0.0, lengths.astype(float), [], np.inf
     for step in STEPS:
         covered, spent, amounts = np.zeros(len(lengths)), 0.0, {}
         enough = np.log(len(lengths) + 1) / step
         for _ in range(PHASE_ROUNDS):
             rounds += 1
             if rounds * cells > MOST_CELLS:
-                return best, bound
+                return best, bound, prices
             weights = np.exp(logs - logs.max())
-            which, copies = dearest_pattern(lengths, weights / demand, capacity, demand)
-            bound = max(bound, float(weights.sum() / (weights[which] / demand[which] * copies).sum()))
-            # As much as covers the scarcest length of the pattern once.
-            amount = float((demand[which] / copies).min())
-            gain = amount * copies / demand[which]
-            covered[which] += gain
-            logs[which] -= step * gain
-            spent += amount
-            held = amounts.setdefault((which.tobytes(), copies.tobytes()), [0.0, which, copies])
-            held[0] += amount
+            table = Knapsack(lengths, weights / demand, capacity, most)
+            if weights.sum() / table.value > bound:
+                bound, prices = float(weights.sum() / table.value), weights / demand
+            near = np.flatnonzero(table.values >= (1 - step / 3) * table.value)
+            for longest in near[np.argsort(-table.values[near], kind="stable")].tolist():
+                which, copies = table.pattern(longest)
+                now = weights[which]
+                if (now / demand[which] * copies).sum() < (1 - step / 3) * table.value:
+                    continue
+                # As much as covers the scarcest length of the pattern once.
+                amount = float((demand[which] / copies).min())
+                gain = amount * copies / demand[which]
+                covered[which] += gain
+                logs[which] -= step * gain
+                weights[which] = now * np.exp(-step * gain)
+                spent += amount
+                held = amounts.setdefault((which.tobytes(), copies.tobytes()), [0.0, which, copies])
+                held[0] += amount
             lowest = covered.min()
             if lowest > 0 and spent / lowest < least:
                 least = spent / lowest
                 best = [(amount / lowest, which, copies) for amount, which, copies in amounts.values()]
             if least <= (1 + gap) * bound:
-                return best, bound
+                return best, bound, prices
             if lowest >= enough / step:
                 break
-    return best, bound
+    return best, bound, prices
+
+
+def priced_patterns(
+    lengths: np.ndarray, demand: np.ndarray, capacity: int, gap: float = GAP
+) -> tuple[list[tuple[float, np.ndarray, np.ndarray]], float]:
+    """The patterns of ``configuration_program`` and its bound."""
+    return configuration_program(lengths, demand, capacity, gap)[:2]
+
+
+def rounded_patterns(
+    lengths: np.ndarray, demand: np.ndarray, capacity: int, chosen: list[tuple[float, np.ndarray, np.ndarray]], prices: np.ndarray
+) -> list[Pattern]:
+    """Whole sequences for the program's amounts, none with more pieces than there are.
+
+    Amounts of patterns within ``GAP`` of the dearest are rounded down first.  What they leave
+    is priced again with the program's prices, round by round: the longest length left is
+    used with its dearest filling, as often as the rest allows, then the next.  Pieces that
+    are left when the cells end are not in the result.
+    """
+    left, out, cells = demand.copy(), [], 0
+
+    def use(bins: int, which: np.ndarray, copies: np.ndarray) -> None:
+        if bins > 0:
+            left[which] -= bins * copies
+            out.append(Pattern(bins, lengths[which], copies, by_program=True))
+
+    dearest = Knapsack(lengths, prices, capacity, _most(lengths, demand, capacity)).value
+    for amount, which, copies in sorted(chosen, key=lambda c: -c[0]):
+        if (prices[which] * copies).sum() >= (1 - GAP) * dearest:
+            use(min(int(amount), int((left[which] // copies).min())), which, copies)
+    # Among equally dear fillings the one with the longer pieces: short ones fill what is left at the end.
+    prices = prices * (1 + 1e-4 * lengths / capacity)
+    for turn in itertools.count():
+        open_ = np.flatnonzero(left)
+        if not len(open_):
+            break
+        if len(open_) > 2 * LONGEST:
+            # With many lengths the longest and some others fill a sequence as well as all of them would.
+            others = len(open_) - LONGEST
+            stride = -(-others // LONGEST)
+            open_ = np.concatenate([open_[turn % stride : others : stride], open_[others:]])
+        most = _most(lengths[open_], left[open_], capacity)
+        cells += _table_cells(most, capacity)
+        if cells > 2 * MOST_CELLS:
+            break
+        table = Knapsack(lengths[open_], prices[open_], capacity, most)
+        for longest in range(len(open_) - 1, max(len(open_) - LONGEST, 0) - 1, -1):
+            which, copies = table.pattern(longest)
+            which = open_[which]
+            bins = int((left[which] // copies).min())
+            if not bins:  # shorter ones would take what longer ones need: price again
+                break
+            use(bins, which, copies)
+    return out
 
 
 def greedy_patterns(lengths: np.ndarray, left: np.ndarray, capacity: int) -> list[Pattern]:
@@ -199,23 +301,17 @@ def greedy_patterns(lengths: np.ndarray, left: np.ndarray, capacity: int) -> lis
 def packed_patterns(lengths: np.ndarray, demand: np.ndarray, capacity: int = CAPACITY) -> list[Pattern]:
     """Patterns that hold each length exactly as often as it occurs.
 
-    Greed alone if it is within ``GAP`` of the sum of all lengths, or has fewer sequences than the program.
+    The program's, rounded; only what its bounds leave over is packed greedily.
     """
     lengths, demand = np.asarray(lengths, dtype=np.int64), np.asarray(demand, dtype=np.int64)
     if not len(lengths):
         return []
-    n_bins = lambda patterns: sum(p.bins for p in patterns)
-    plain = greedy_patterns(lengths, demand, capacity)
-    if n_bins(plain) <= max((1 + GAP) * float((lengths * demand).sum()) / capacity, -(-int((lengths * demand).sum()) // capacity)):
-        return plain
-    chosen, _ = priced_patterns(lengths, demand.astype(float), capacity)
-    left, out = demand.copy(), []
-    for amount, which, copies in sorted(chosen, key=lambda c: -c[0]):
-        bins = min(int(amount), int((left[which] // copies).min()))
-        if bins:
-            left[which] -= bins * copies
-            out.append(Pattern(bins, lengths[which], copies, by_program=True))
-    return min(out + greedy_patterns(lengths, left, capacity), plain, key=n_bins)
+    chosen, _, prices = configuration_program(lengths, demand.astype(float), capacity)
+    out = rounded_patterns(lengths, demand, capacity, chosen, prices)
+    left = demand.copy()
+    for p in out:
+        left[np.searchsorted(lengths, p.lengths)] -= p.bins * p.copies
+    return out + greedy_patterns(lengths, left, capacity)
 
 
 def placement(patterns: list[Pattern]) -> dict[str, np.ndarray]:

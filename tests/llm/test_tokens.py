@@ -187,3 +187,30 @@ def test_the_program_ends_in_time(monkeypatch, rounds):
         for length, n in zip(p.lengths.tolist(), p.copies.tolist(), strict=True):
             held[length] += n * p.bins
     assert set(held.values()) == {20}
+
+
+def test_the_program_packs_where_greed_would_do():
+    """Many short pieces, where greed is near the sum of lengths: the patterns are still the program's, and as few."""
+    rng = np.random.default_rng(7)
+    lengths, demand = np.unique(rng.integers(20, 1000, 900), return_counts=True)
+    patterns = packing.packed_patterns(lengths, demand, 1000)
+    held = dict.fromkeys(lengths.tolist(), 0)
+    for p in patterns:
+        assert (p.lengths * p.copies).sum() <= 1000
+        for length, copies in zip(p.lengths.tolist(), p.copies.tolist(), strict=True):
+            held[length] += p.bins * copies
+    assert list(held.values()) == demand.tolist() and all(p.by_program for p in patterns)
+    assert sum(p.bins for p in patterns) <= sum(p.bins for p in packing.greedy_patterns(lengths, demand, 1000))
+
+
+def test_knapsack_for_each_longest_piece():
+    import itertools
+
+    lengths, prices, most = np.array([3, 4, 5, 6]), np.array([2.0, 3.0, 3.9, 4.0]), np.array([2, 1, 1, 2])
+    table = packing.Knapsack(lengths, prices, 13, most)
+    for i in range(4):
+        which, copies = table.pattern(i)
+        held = dict(zip(which.tolist(), copies.tolist()))
+        fits = [c for c in itertools.product(*[range(m + 1) for m in most[: i + 1]]) if c[i] and np.dot(c, lengths[: i + 1]) <= 13]
+        assert held[i] and max(held) == i and all(n <= most[k] for k, n in held.items())
+        assert np.dot(prices[which], copies) == pytest.approx(max(np.dot(c, prices[: i + 1]) for c in fits)) == table.values[i]
