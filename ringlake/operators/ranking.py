@@ -43,18 +43,23 @@ def row_numbers(rows: DataFrame, by: str, order: list[Column], name: str, runs:
 HOT_ROWS = 5_000_000
 
 
-def ranked_rows(rows: DataFrame, by: str, order: list[Column], name: str, hot_rows: int = HOT_ROWS, **split: int) -> DataFrame:
+def ranked_rows(
+    rows: DataFrame, by: str, order: list[Column], name: str, hot_rows: int = HOT_ROWS, within: str | None = None, **split: int
+) -> DataFrame:
     """``row_number()`` per value of ``by`` in ``order``, with one shuffle of the rows.
 
     Groups are counted first, from the key column alone.  Those of more than ``hot_rows``
     rows (at most rows / ``hot_rows`` of them) are numbered in runs by ``row_numbers``, all
     others by a window.  ``rows`` are read twice, so they should come from a table.
+    ``within`` names a column that ``by`` decides: the shuffle is by that, so that the rows
+    of one of its values come out of one task and can be written to its folder as they are.
     """
     sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
     hot = [r[0] for r in sizes.where(F.col("__n") > hot_rows).select(by).collect()]
-    number = F.row_number().over(Window.partitionBy(by).orderBy(*order)).alias(name)
+    number = F.row_number().over(Window.partitionBy(*([within] if within else []), by).orderBy(*order)).alias(name)
+    numbered = lambda some: (some.repartition(within) if within else some).select("*", number)
     if not hot:
-        return rows.select("*", number)
+        return numbered(rows)
     is_hot = F.coalesce(F.col(by).isin(*[v for v in hot if v is not None]), F.lit(None in hot))
     split_up = row_numbers(rows.where(is_hot), by, order, name, **split)
-    return rows.where(~is_hot).select("*", number).unionByName(split_up)
+    return numbered(rows.where(~is_hot)).unionByName(split_up)

@@ -169,9 +169,12 @@ class Run:
         """Whether a leaf holds a day of the part."""
         return self.part is None or _day_in_part(values[LANDED_DAY], self.part)
 
-    def _put(self, name: str, df: DataFrame, partition_by: list[str], gone: Callable[[Values], bool]) -> Stored:
-        """Stage rows in place of the leaves that are ``gone``; returns what was staged."""
-        rows = df.hint("rebalance", *partition_by) if partition_by else df
+    def _put(self, name: str, df: DataFrame, partition_by: list[str], gone: Callable[[Values], bool], clustered: bool = False) -> Stored:
+        """Stage rows in place of the leaves that are ``gone``; returns what was staged.
+
+        Rows that are ``clustered`` by the partition columns are written without another shuffle.
+        """
+        rows = df.hint("rebalance", *partition_by) if partition_by and not clustered else df
         staged = self.lake.stage(rows, name, partition_by)
         kept = self.before[name].where(lambda v: not gone(v)) if name in self.before else Stored(staged.schema, partition_by)
         self.now[name] = kept.and_also(staged)
@@ -230,8 +233,8 @@ class Run:
         if self.part is not None:
             old = self.lake.read(self.names.dim, self.before[self.names.dim].where(lambda v: v[BUCKET] in buckets))
             rows = rows.unionByName(old.where(~_day_column_in_part(self.part)).select(*rows.columns))
-        ranked = ranked_rows(rows, "customer_id", newest_first(), "customer_subscription_rank")
-        self._put(self.names.dim, ranked, [BUCKET], lambda v: v[BUCKET] in buckets)
+        ranked = ranked_rows(rows, "customer_id", newest_first(), "customer_subscription_rank", within=BUCKET)
+        self._put(self.names.dim, ranked, [BUCKET], lambda v: v[BUCKET] in buckets, clustered=True)
 
 
 # --- parts and days -------------------------------------------------------------------

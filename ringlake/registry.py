@@ -222,10 +222,9 @@ def _part_runs(spark: SparkSession, folder: str) -> tuple[Refreshed, Lake]:
     """
     key = (spark.sparkContext.applicationId, folder)
     if key not in _part_runs_done:
-        base, rows = new_folder(spark, "bronze"), written(_bronze(spark, folder), "bronze")
-        week, earlier = F.date_trunc("week", _created_at()), F.col("auto_renewal")
-        tree.land(rows.where(earlier), base, week - F.expr("interval 1 year"))
-        tree.land(rows.where(~earlier), base, week)
+        base, week = new_folder(spark, "bronze"), F.date_trunc("week", _created_at())
+        rows = _bronze(spark, folder).where("auto_renewal IS NOT NULL")
+        tree.land(rows, base, F.when(F.col("auto_renewal"), week - F.expr("interval 1 year")).otherwise(week))
         parts, clocks = zip(*PART_RUNS, strict=True)
         warehouse = new_folder(spark, "warehouse")
         done = _refreshed(spark, tree.scan(spark, base), *parts, clocks=clocks, warehouse=warehouse, burst=BURST)

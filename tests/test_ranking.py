@@ -51,6 +51,17 @@ def test_hot_groups_take_runs_and_others_a_window(spark, hot_rows):
     assert same_rows(numbered, _expected(rows))
 
 
+@pytest.mark.parametrize("hot_rows", [10, 100, 10_000])
+def test_numbers_within_buckets_take_one_shuffle(spark, hot_rows):
+    """Rows come out clustered by the bucket that the group decides, and are not shuffled by group as well."""
+    rows = _rows(spark).withColumn("b", F.pmod(F.xxhash64("c"), F.lit(4)))
+    numbered = ranked_rows(rows, "c", _order(), "r", hot_rows, within="b", runs=8)
+    if hot_rows == 10_000:
+        assert plan(numbered).count("hashpartitioning(") == plan(numbered).count("hashpartitioning(b#") == 1
+        assert all(r.n == 1 for r in numbered.withColumn("t", F.spark_partition_id()).groupBy("b").agg(F.count_distinct("t").alias("n")).collect())
+    assert same_rows(numbered, _expected(rows))
+
+
 def test_empty_input(spark):
     assert row_numbers(_rows(spark).limit(0), "c", _order(), "r").count() == 0
 
