@@ -154,6 +154,8 @@ def model_entries(counts: DataFrame) -> DataFrame:
     """
     out, now = None, counts
     for size in range(ORDER, 0, -1):
+        # Written, as four aggregates read it: else each order's plan holds those of all higher ones, several times.
+        now = written(now, "order-counts")
         now = now.withColumn("context", F.expr(f"substring(gram, 1, {size - 1})"))
         # With no n-gram of count one or two, half of a count is taken.
         ones, twos = F.count_if(F.col("n") == 1), F.count_if(F.col("n") == 2)

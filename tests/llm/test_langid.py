@@ -155,3 +155,10 @@ def test_cases(spark, no_docs):
     assert langid.identify(no_docs).collect() == []
     unlabelled = langid.identify(documents(spark).withColumn("lang", F.lit(None).cast("string"))).collect()
     assert {r.lang_pred for r in unlabelled} == {"und"}
+
+
+def test_orders_are_planned_apart(spark):
+    """An order is read from a table: its plan does not hold those of the higher orders again."""
+    counts = spark.createDataFrame([("xx", "abcd", 2), ("xx", "bcda", 1), ("yy", "abcd", 1)], "lang string, gram string, n long")
+    plan = langid.model_entries(counts)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") <= 4 * langid.ORDER
