@@ -55,3 +55,18 @@ def test_divergence_against_brute_force(spark):
         m = [(a + b) / 2 for a, b in zip(p, q)]
         kl = lambda u: sum(a * math.log2(a / b) for a, b in zip(u, m) if a)
         assert abs(got[i] - math.sqrt(max((kl(p) + kl(q)) / 2, 0))) < 1e-9
+
+
+def test_class_counts(spark):
+    """Characters of every class, broken bytes too, as counted one class at a time."""
+    from pyspark.sql import functions as F
+
+    texts = ["", "aB3 .#\u00e9", "x" * 50 + " Y\t\n9$$\\ []{}^~_`", "\U0001f642 \u6f22\u5b57 (a-b) 'c' \"d\"", "\x00\x07\x1f\x7f ok", sentence(3, 90)]
+    broken = [b"a\xffb", b"\xe6\xbcZ\xe6", b"\xf0\x9f\x99 \xc0\xaf", b"\xed\xa0\x80q", b"\x80\x80A1"]
+    rows = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate([t.encode() for t in texts] + broken)], "i int, raw binary")
+    rows = rows.select("i", F.col("raw").cast("string").alias("text"))
+    by_one = F.array(*[F.regexp_count("text", F.lit(p)).cast("long") for p in quality.CLASSES.values()])
+    found = rows.select("i", quality.class_counts(F.col("text")).alias("new"), by_one.alias("old"))
+    got = {r.i: r for r in found.collect()}
+    assert all(r.new == r.old for r in got.values())
+    assert all(got[i].new == [len(re.findall(p, t)) for p in quality.CLASSES.values()] for i, t in enumerate(texts))
