@@ -53,13 +53,24 @@ def ranked_rows(
     others by a window.  ``rows`` are read twice, so they should come from a table.
     ``within`` names a column that ``by`` decides: the shuffle is by that, so that the rows
     of one of its values come out of one task and can be written to its folder as they are.
+    Then groups are counted only in those of its values that have more than ``hot_rows`` rows.
     """
-    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
-    hot = [r[0] for r in sizes.where(F.col("__n") > hot_rows).select(by).collect()]
+    large = _larger(rows, within, hot_rows) if within else None
+    hot = [] if large == [] else _larger(rows if large is None else rows.where(_one_of(within, large)), by, hot_rows)
     number = F.row_number().over(Window.partitionBy(*([within] if within else []), by).orderBy(*order)).alias(name)
     numbered = lambda some: (some.repartition(within) if within else some).select("*", number)
     if not hot:
         return numbered(rows)
-    is_hot = F.coalesce(F.col(by).isin(*[v for v in hot if v is not None]), F.lit(None in hot))
+    is_hot = _one_of(by, hot)
     split_up = row_numbers(rows.where(is_hot), by, order, name, **split)
     return numbered(rows.where(~is_hot)).unionByName(split_up)
+
+
+def _larger(rows: DataFrame, by: str, n: int) -> list:
+    """Values of ``by`` with more than ``n`` rows."""
+    sizes = rows.groupBy(by).agg(F.count(F.lit(1)).alias("__n"))
+    return [r[0] for r in sizes.where(F.col("__n") > n).select(by).collect()]
+
+
+def _one_of(column: str, values: list) -> Column:
+    return F.coalesce(F.col(column).isin(*[v for v in values if v is not None]), F.lit(None in values))

@@ -10,7 +10,7 @@ customers that the part concerns.
 from __future__ import annotations
 
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from datetime import date, timedelta
 
@@ -150,7 +150,8 @@ class Run:
         fresh = self._silver(bronze)
         # The models' jobs are many and short, so independent ones run side by side.
         with ThreadPoolExecutor(3) as side:
-            fact = side.submit(self._fact_and_summary, fresh)
+            cells = side.submit(self._cells, fresh)
+            fact = side.submit(self._fact_and_summary, fresh, cells)
             staged = self._put(
                 self.customer_state, state.customer_state(fresh, self.settings["buckets"]), [BUCKET, LANDED_DAY], self._touched
             )
@@ -160,8 +161,9 @@ class Run:
             each.result()
         self.lake.commit(self.now, {**self.lake.settings, self.names.silver: self.settings})
 
-    def _fact_and_summary(self, fresh: DataFrame) -> None:
-        self._fact(fresh, self._bursts(fresh) if self.burst else set())
+    def _fact_and_summary(self, fresh: DataFrame, cells: Future[set[str | None]]) -> None:
+        reached = self._bursts(fresh) if self.burst else set()
+        self._fact(cells.result() | reached)
         fact = self.lake.read(self.names.fact, self.now[self.names.fact]).select(*FACT_COLUMNS)
         self._put(self.names.summary, daily_summary(fact, self.clock, self.per_day), [], lambda v: True)
 
@@ -212,11 +214,14 @@ class Run:
         self._put(self.bursts, over.where(_among(DAY, reached)), [DAY], lambda v: v[DAY] in reached)
         return reached
 
-    def _fact(self, fresh: DataFrame, reached: set[str | None]) -> None:
+    def _cells(self, fresh: DataFrame) -> set[str | None]:
+        """Store the counts per cell and customer; the registration dates they concern."""
         staged = self._put(self.fact_state, state.fact_state(fresh), [DAY, LANDED_DAY], self._touched)
-        days = self._values(self.fact_state, DAY, staged) | reached
+        return self._values(self.fact_state, DAY, staged)
+
+    def _fact(self, days: set[str | None]) -> None:
         if "burst" in self.changed:
-            days |= self.now[self.fact_state].values(DAY)
+            days = days | self.now[self.fact_state].values(DAY)
         of = lambda name: self.lake.read(name, self.now[name].where(lambda v: v[DAY] in days))
         added = state.burst_rows(of(self.arrivals), of(self.bursts)) if self.burst else None
         self._put(self.names.fact, state.merged_fact(of(self.fact_state), added), [DAY], lambda v: v[DAY] in days)

@@ -143,13 +143,20 @@ class Lake:
         self._staged.append(path)
         df.write.partitionBy(*columns).parquet(path) if columns else df.write.parquet(path)
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema if f.name not in columns] + [T.StructField(c, df.schema[c].dataType) for c in columns])
-        # No column is read, so this takes the row counts of the footers.
-        folder = F.regexp_replace(F.input_file_name(), "/[^/]*$", "")
-        counted = self.spark.read.schema(schema).parquet(path).groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n"))
-        leaves = {unquote(r["folder"]).split(f"/{version}", 1)[1].strip("/"): r["n"] for r in counted.collect()}
+        counted = self._counted(path, schema).collect()
+        leaves = {unquote(r["folder"]).split(f"/{version}", 1)[1].strip("/"): r["n"] for r in counted}
         held = {f"{version}/{leaf}".rstrip("/"): n for leaf, n in leaves.items() if n}
         return Stored(schema, columns, held, {version: len(held)} if held else {})
 
+    def _counted(self, path: str, schema: T.StructType) -> DataFrame:
+        """Rows by folder.  No column is read, so this takes the row counts of the footers.
+
+        Rows are counted by file first: their folder is cut out of a path once a file, not once a row.
+        """
+        file = F.input_file_name().alias("file")
+        files = self.spark.read.schema(schema).parquet(path).groupBy(file).agg(F.count(F.lit(1)).alias("n"))
+        return files.groupBy(F.regexp_replace("file", "/[^/]*$", "").alias("folder")).agg(F.sum("n").alias("n"))
+
     def discard(self) -> None:
         """Delete what was staged and not committed."""
         for path in self._staged:

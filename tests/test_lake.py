@@ -30,6 +30,18 @@ def test_names_of_partitions_come_back(spark, rows, tmp_path):
     assert spark.table("lk.t").where("p = 'a b'").count() == 2
 
 
+def test_folders_are_cut_out_of_paths_once_a_file(spark, rows, tmp_path, monkeypatch):
+    """Rows are only counted by file; a leaf of several files adds up."""
+    seen, collect = [], type(rows).collect
+    monkeypatch.setattr(type(rows), "collect", lambda df: seen.append(df._jdf.queryExecution().optimizedPlan().toString()) or collect(df))
+    many = rows.union(rows.where("p IS NULL")).union(rows.limit(0)).repartition(7)
+    stored = Lake(spark, str(tmp_path)).stage(many, "t", ["p"])
+    assert len(list(tmp_path.glob("t/*/*/*.parquet"))) > len(stored.leaves) == 4
+    assert {leaf_values(leaf)["p"]: n for leaf, n in stored.leaves.items()} == {"a b": 2, "ä=é": 1, "it's": 1, None: 2}
+    (counting,) = [p for p in seen if "input_file_name" in p]
+    assert counting.count("Aggregate [") == 2 and "Project [regexp_replace" not in counting
+
+
 def test_replaced_leaves_stay_until_they_are_forgotten(spark, rows, tmp_path):
     rows = rows.where("p IS NOT NULL")  # a brace would be read as a pattern in a single leaf's path
     lake = Lake(spark, str(tmp_path))

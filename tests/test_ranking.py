@@ -62,6 +62,15 @@ def test_numbers_within_buckets_take_one_shuffle(spark, hot_rows):
     assert same_rows(numbered, _expected(rows))
 
 
+@pytest.mark.parametrize(("hot_rows", "counted"), [(10, ["b", "c"]), (10_000, ["b"])])
+def test_groups_are_counted_in_large_buckets_only(spark, monkeypatch, hot_rows, counted):
+    rows = _rows(spark).withColumn("b", F.pmod(F.xxhash64("c"), F.lit(4)))
+    by, grouped = [], type(rows).groupBy
+    monkeypatch.setattr(type(rows), "groupBy", lambda df, *columns: by.append(str(columns[0])) or grouped(df, *columns))
+    ranked_rows(rows, "c", _order(), "r", hot_rows, within="b", runs=8)
+    assert [column for column in by if column in ("b", "c")] == counted
+
+
 def test_empty_input(spark):
     assert row_numbers(_rows(spark).limit(0), "c", _order(), "r").count() == 0
 
